@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions.text import FIRST_BYTE_ID, FIRST_MERGE_ID, MAX_TOKEN_ID, USER_SYMBOLS, WORD_MARK
 
@@ -77,7 +78,7 @@ def bpe_encoder(vocab: DataFrame) -> Callable[[Column], Column]:
     shared = vocab.sparkSession.sparkContext.broadcast(collect_pieces(vocab))
     encoders: list[Callable[[str], list[int]]] = []
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(text: pa.Array) -> pa.Array:
         if not encoders:
             encoders.append(text_encoder(shared.value))
@@ -92,7 +93,7 @@ def bpe_decoder(vocab: DataFrame) -> Callable[[Column], Column]:
     by_id = [_piece_bytes(number, table.get(number, "")) for number in range(max(table) + 1)]
     shared = vocab.sparkSession.sparkContext.broadcast(by_id)
 
-    @F.arrow_udf("string")
+    @F.arrow_udf(T.StringType())
     def decode(tokens: pa.Array) -> pa.Array:
         known = shared.value
         texts = (b"".join([known[i] for i in ids or ()]).decode("utf-8", errors="replace") for ids in tokens.to_pylist())

@@ -25,7 +25,7 @@ def eval_limit(blocks: DataFrame, n_batches: int, batch_size: int = 4, max_shard
     return blocks.where((F.col("shard_id") < max_shards) & (F.col("block_id") < n_batches * batch_size))
 
 
-def bigram_counts(blocks: DataFrame) -> DataFrame:
+def bigram_counts(blocks: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Counts of adjacent ids inside each block (no pair crosses a block)."""
     n = F.size("tokens")
     pairs = F.arrays_zip(
@@ -33,8 +33,8 @@ def bigram_counts(blocks: DataFrame) -> DataFrame:
     )
     return (
         blocks.where(n > 1)
-        .select(F.inline(pairs))
-        .groupBy("prev", "next")
+        .select(*keys, F.inline(pairs))
+        .groupBy(*keys, "prev", "next")
         .agg(F.count("*").alias("n"))
     )
 
@@ -50,7 +50,7 @@ def bigram_scores(train: DataFrame, scored: DataFrame, vocab_size: int, k: float
     return (
         scored.join(seen, ["prev", "next"], "left")
         .join(contexts, "prev", "left")
-        .select("prev", "next", "n", (-F.log(probability)).alias("nll"))
+        .select(*scored.columns, (-F.log(probability)).alias("nll"))
     )
 
 
