@@ -17,13 +17,13 @@ from corpusmill.functions.text import (
     USER_SYMBOLS,
     marked,
 )
-from corpusmill.session import cut_lineage
+from corpusmill.session import cut_lineage, spread
 
 OPEN, CLOSE = "\x01", "\x02"  # around every symbol of a word while it is merged
 #: most frequent pairs fetched per round
-TOP_PAIRS = 512
+TOP_PAIRS = 1024
 #: rounds between checkpoints of the word table
-CHECKPOINT_ROUNDS = 8
+CHECKPOINT_ROUNDS = 16
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -116,27 +116,43 @@ class Pair:
 def safe_batch(top: list[Pair], known: set[str], truncated: bool) -> list[Pair]:
     """The leading pairs that can be merged at once with the one-by-one result.
 
-    Merging a pair changes only counts of pairs that share a symbol with it,
-    and a new pair is never more frequent than one it came from, which shares a
-    symbol too.  So up to the first pair that shares a symbol with an earlier
-    one nothing can overtake, except on equal counts.  A pair of equal symbols,
-    or one whose piece exists already, is merged alone.
+    Merging (A, B) changes the counts of pairs that end in A or start with B
+    and no others, and each new pair comes from one of those: it is at most as
+    frequent, and its piece extends theirs.  So up to the first pair of that
+    kind the order is settled, but for equal counts, where a new piece A+B+x
+    takes its place by spelling.  A pair of equal symbols, or one whose piece
+    exists already, is merged alone.
     """
-    batch: list[Pair] = []
-    used: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
     made: set[str] = set()
+    batch: list[Pair] = []
     bound = top[-1].n if truncated else 0
     for pair in top:
         alone = pair.left == pair.right or pair.piece in known or pair.piece in made
         if alone and not batch:
             return [pair]
-        if alone or pair.left in used or pair.right in used:
+        if alone or pair.left in rights or pair.right in lefts:
             bound = pair.n
             break
         batch.append(pair)
-        used |= {pair.left, pair.right}
+        lefts.add(pair.left)
+        rights.add(pair.right)
         made.add(pair.piece)
-    return batch[:1] + [pair for pair in batch[1:] if pair.n > bound]
+    ties_known = not truncated or bound > top[-1].n
+    followers: dict[str, list[str]] = {}
+    for pair in top:
+        if pair.n == bound:
+            followers.setdefault(pair.left, []).append(pair.right)
+    accepted: list[Pair] = []
+    first_new: str | None = None
+    for pair in batch:
+        if accepted and pair.n == bound and (not ties_known or (first_new is not None and pair.piece > first_new)):
+            break
+        accepted.append(pair)
+        new = [pair.piece + follower for follower in followers.get(pair.right, ())]
+        first_new = min([*new, first_new] if first_new is not None else new, default=None)
+    return accepted
 
 
 def merge_pair(symbols: Column, pair: Pair) -> Column:
@@ -152,12 +168,16 @@ def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: boo
     and is rewritten in place; the driver holds the pieces (at most 65,536) and
     the top of the pair table.
     """
-    table = cut_lineage(covered_words(words, chars))
+    # adaptive coalescing would leave a small table on one core for every round
+    table = cut_lineage(spread(cut_lineage(covered_words(words, chars)), "symbols"))
     known = set(chars)
     merged: list[str] = []
     rounds = 0
+    older: DataFrame | None = None
     while len(merged) < n_merges:
         top = [Pair(r["left"], r["right"], r["n"]) for r in best_pairs(pair_counts(table), TOP_PAIRS).collect()]
+        if older is not None:
+            older.unpersist()
         if not top:
             break
         batch = top[:1] if one_by_one else safe_batch(top, known, len(top) == TOP_PAIRS)
@@ -169,10 +189,15 @@ def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: boo
             if pair.piece not in known:
                 known.add(pair.piece)
                 merged.append(pair.piece)
-        table = table.withColumn("symbols", symbols)
+        # kept only to be read once more; a lost part is rebuilt from the checkpoint
+        older, table = table, table.withColumn("symbols", symbols).persist()
         rounds += 1
         if rounds % CHECKPOINT_ROUNDS == 0:
-            table = cut_lineage(table)
+            rewritten = cut_lineage(table)
+            older.unpersist()
+            table.unpersist()
+            older, table = None, rewritten
+    table.unpersist()
     return merged
 
 

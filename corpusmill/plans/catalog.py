@@ -16,7 +16,7 @@ from corpusmill.functions.text import FIRST_MERGE_ID, byte_tokens, is_non_empty
 from corpusmill.operators import batches, dedup, evaluate, metrics, mix, sampling, shards, vocab
 from corpusmill.operators.packing import token_offsets as offsets_of
 from corpusmill.plans import corpus
-from corpusmill.session import materialize, scratch_path
+from corpusmill.session import materialize, scratch_path, spread
 from corpusmill.sources import registry, token_shards
 from corpusmill.streaming import dedup as stream_dedup_ops
 from corpusmill.streaming import metrics as stream_metrics_ops
@@ -210,7 +210,7 @@ def batch_windows(spark, sf_dir):
 def _dedup_blocks(spark, sf_dir) -> DataFrame:
     blocks = corpus.byte_blocks(_docs(spark, sf_dir), DEDUP_BLOCK)
     order = dedup.block_order(list(SOURCES), F.col("source"), F.col("block_id"))
-    return materialize(blocks.withColumn("ord", order), "dedup-blocks")
+    return spread(materialize(blocks.withColumn("ord", order), "dedup-blocks"), "ord")
 
 
 def _sketches(spark, sf_dir) -> DataFrame:
@@ -369,13 +369,13 @@ def _micro_steps(rows: DataFrame) -> DataFrame:
 def _shown_metrics(rows: DataFrame, *names: str) -> DataFrame:
     for name in names:
         rows = rows.withColumn(name, F.round(name, 6))
-    return rows
+    return rows.withColumn("loss", F.round("loss", 9))
 
 
 def metrics_rollup(spark, sf_dir):
     micro = _micro_steps(spark.read.parquet(f"{sf_dir}/events.parquet"))
     rows = metrics.metrics_rollup(metrics.step_losses(micro, GRAD_ACCUM), LOG_EVERY, TOKENS_PER_STEP)
-    return _shown_metrics(rows, "loss", "ppl", "tok_per_sec")
+    return _shown_metrics(rows, "ppl", "tok_per_sec")
 
 
 # --- streaming --------------------------------------------------------------
@@ -427,7 +427,7 @@ def stream_metrics(spark, sf_dir):
     writer = live.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{root}/log")
     writer.trigger(availableNow=True).start().awaitTermination()
     rows = spark.read.parquet(f"{root}/rows").groupBy("step").agg(F.max_by(F.struct("n_steps", "loss", "ppl", "tokens_seen"), "batch_id").alias("r"))
-    return _shown_metrics(rows.select("step", "r.*"), "loss", "ppl")
+    return _shown_metrics(rows.select("step", "r.*"), "ppl")
 
 
 QUERIES = {

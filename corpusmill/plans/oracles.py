@@ -26,10 +26,11 @@ toks AS (SELECT source, doc_id, start + i AS pos, i,
 
 
 def _blocks(size: int, cap: int | None = None) -> str:
-    limit = "" if cap is None else f" AND block_id < greatest(1, {-(-cap // size)})"
+    limit = "" if cap is None else f" WHERE block_id < greatest(1, {-(-cap // size)})"
     return f"""
-blocks AS (SELECT source, pos // {size} AS block_id, string_agg(tok::VARCHAR, ',' ORDER BY pos) AS tokens
-  FROM toks GROUP BY ALL HAVING count(*) = {size}{limit})"""
+full_only AS (SELECT source, pos // {size} AS block_id, string_agg(tok::VARCHAR, ',' ORDER BY pos) AS tokens
+  FROM toks GROUP BY ALL HAVING count(*) = {size}),
+blocks AS (SELECT * FROM full_only{limit})"""
 
 
 def _numbered(size: int, shard: int = c.SHARD_TOKENS) -> str:
@@ -131,12 +132,22 @@ timed AS (SELECT a.*, (epoch_us(a.ended) - epoch_us(coalesce(b.ended, a.began)))
 
 _PACKED = "SELECT source, block_id, tokens FROM blocks"
 
-# --- the serial rule, round by round: what a block is depends on earlier ones only
+# The serial rule in rounds over every block (no collapsing): the earliest
+# undecided block of all its bands is kept, whoever meets a kept one is flagged.
 _GREEDY = """
-shared AS MATERIALIZED (SELECT ord, band, k FROM bands SEMI JOIN
-  (SELECT band, k FROM bands GROUP BY ALL HAVING count(*) > 1) s USING (band, k)),
-earlier AS MATERIALIZED (SELECT DISTINCT a.ord AS ord, b.ord AS prev FROM shared a JOIN shared b
-  ON a.band = b.band AND a.k = b.k AND b.ord < a.ord)"""
+shared AS MATERIALIZED (SELECT ord, band || ':' || k AS key FROM bands
+  SEMI JOIN (SELECT band, k FROM bands GROUP BY ALL HAVING count(*) > 1) s USING (band, k)),
+rounds AS (
+  SELECT ord, key, NULL::BIGINT AS kept_ord, true AS open FROM shared
+  UNION ALL
+  SELECT ord, key, kept_ord, kept_ord IS NULL FROM
+    (SELECT *, min(key_kept) OVER (PARTITION BY ord) AS kept_ord FROM
+      (SELECT *, min(CASE WHEN leads THEN ord END) OVER (PARTITION BY key) AS key_kept FROM
+        (SELECT ord, key, bool_and(first) OVER (PARTITION BY ord) AS leads FROM
+          (SELECT ord, key, ord = min(ord) OVER (PARTITION BY key) AS first FROM rounds WHERE open))))),
+flags AS MATERIALIZED (SELECT DISTINCT ord, kept_ord FROM rounds WHERE NOT open AND kept_ord < ord)"""
+_FLAGS = ("RECURSIVE " + _DEDUP_BASE[0], *_DEDUP_BASE[1:], _SIGNATURES, _BAND_ROWS, _GREEDY)
+_ORD = f"({_RANK})::BIGINT * {2**40} + block_id"
 
 ORACLES = {
     "scan_source": "SELECT 'en' AS source, doc_id, text FROM documents WHERE lang = 'en' AND text <> ''",
@@ -216,6 +227,23 @@ FROM batched SEMI JOIN full_batches USING (batch_id) GROUP BY ALL""",
     + f"SELECT source, block_id, concat_ws(',', {', '.join(f'm{i}' for i in range(mh.NUM_PERM))}) AS signature FROM sigs",
     "lsh_bands": _with(*_DEDUP_BASE, _SIGNATURES, _BAND_ROWS)
     + "SELECT band, count(*) AS n_blocks, min(ord) AS first_ord FROM bands GROUP BY band, k HAVING count(*) > 1",
+    "dedup_flags": _with(*_FLAGS) + "SELECT ord, kept_ord FROM flags",
+    "dedup_report": _with(*_FLAGS)
+    + """
+SELECT (SELECT count(*) FROM full_blocks) AS n_blocks, count(*) AS n_duplicates,
+  round(count(*) / greatest(1, (SELECT count(*) FROM full_blocks)), 9) AS rate FROM flags""",
+    "drop_flagged": _with(*_FLAGS, _blocks(c.DEDUP_BLOCK))
+    + f"SELECT source, block_id, tokens FROM blocks WHERE {_ORD} NOT IN (SELECT ord FROM flags)",
+    "match_jaccard": _with(*_FLAGS)
+    + f"""
+, sets AS MATERIALIZED (SELECT {_ORD} AS ord, concat_ws(',', {", ".join(f"t{i}" for i in range(mh.SHINGLE))}) AS gram FROM shingles),
+sizes AS (SELECT ord, count(*) AS n FROM sets GROUP BY ord),
+common AS (SELECT f.ord, f.kept_ord, count(*) AS n FROM flags f JOIN sets a ON a.ord = f.ord
+  JOIN sets b ON b.ord = f.kept_ord AND b.gram = a.gram GROUP BY ALL)
+SELECT f.ord, f.kept_ord, round(coalesce(common.n, 0) / (a.n + b.n - coalesce(common.n, 0)), 9) AS jaccard
+FROM flags f JOIN sizes a ON a.ord = f.ord JOIN sizes b ON b.ord = f.kept_ord
+LEFT JOIN common ON common.ord = f.ord AND common.kept_ord = f.kept_ord""",
+    "stream_dedup": _with(*_FLAGS) + "SELECT ord, kept_ord FROM flags",
     "word_counts": _with(_DOCS, _LINES, _WORDS) + "SELECT word, n FROM words",
     "char_coverage": _with(_DOCS, _LINES, _CHARS) + "SELECT ch, n, rank FROM covered",
     "pair_counts": _with(_DOCS, _LINES, _WORDS, _CHARS)
@@ -249,13 +277,13 @@ WITH scored AS (SELECT d.source AS task, CASE WHEN count(quality) >= 20 THEN rou
 SELECT task, coalesce(a, b) AS acc, coalesce(format('{:.4f}', coalesce(a, b)), 'N/A') AS shown FROM scored""",
     "metrics_rollup": _with(_STEPS)
     + f"""
-SELECT g * {c.LOG_EVERY} AS step, round(loss, 6) AS loss, round(exp(least(loss, 20)), 6) AS ppl, lr,
+SELECT g * {c.LOG_EVERY} AS step, round(loss, 9) AS loss, round(exp(least(loss, 20)), 6) AS ppl, lr,
   (g * {c.LOG_EVERY * c.TOKENS_PER_STEP})::BIGINT AS tokens_seen,
   round(CASE WHEN elapsed < 1e-6 THEN 0 ELSE {c.LOG_EVERY * c.TOKENS_PER_STEP} / elapsed END, 6) AS tok_per_sec FROM timed""",
     "stream_scan": _with(_DOCS) + "SELECT source, doc_id, text FROM docs",
     "stream_pack": _with(*_BASE, _blocks(c.FEED_BLOCK, c.CAP_TOKENS)) + _PACKED,
     "stream_metrics": f"""
-SELECT g * {c.LOG_EVERY} AS step, count(*) AS n_steps, round(avg(loss), 6) AS loss, round(exp(least(avg(loss), 20)), 6) AS ppl,
+SELECT g * {c.LOG_EVERY} AS step, count(*) AS n_steps, round(avg(loss), 9) AS loss, round(exp(least(avg(loss), 20)), 6) AS ppl,
   (g * {c.LOG_EVERY * c.TOKENS_PER_STEP})::BIGINT AS tokens_seen
 FROM (SELECT (event_id + {c.LOG_EVERY}) // {c.LOG_EVERY} AS g, value / 100 AS loss FROM events) GROUP BY g""",
 }
