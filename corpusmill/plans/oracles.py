@@ -20,9 +20,9 @@ def _stream(docs: str = "docs") -> str:
     return f"""
 sized AS (SELECT source, doc_id, hex(encode(text)) AS hx, octet_length(encode(text)) AS n FROM {docs}),
 placed AS (SELECT *, (sum(n + 1) OVER (PARTITION BY source ORDER BY doc_id) - (n + 1))::BIGINT AS start FROM sized),
-spread AS (SELECT source, doc_id, start, n, hx, unnest(range(n + 1)) AS i FROM placed),
+spread AS (SELECT source, doc_id, start, unnest(range(n + 1)) AS i, unnest(list_append(regexp_extract_all(hx, '..'), NULL)) AS b FROM placed),
 toks AS (SELECT source, doc_id, start + i AS pos, i,
-  CASE WHEN i = n THEN {EOS_ID} ELSE ('0x' || substr(hx, (2 * i + 1)::BIGINT, 2))::INTEGER + {FIRST_BYTE_ID} END AS tok FROM spread)"""
+  CASE WHEN b IS NULL THEN {EOS_ID} ELSE ('0x' || b)::INTEGER + {FIRST_BYTE_ID} END AS tok FROM spread)"""
 
 
 def _blocks(size: int, cap: int | None = None) -> str:
