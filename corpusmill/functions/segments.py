@@ -23,16 +23,19 @@ def _script(name: str, dialect: str) -> str:
 def training_pattern(dialect: str = "java") -> str:
     """Pattern of one segment in marked text, for Java or RE2.
 
-    A user symbol, a digit on its own, word marks followed by a run of one
-    script, or word marks alone.
+    A digit on its own, word marks followed by a run of one script, or word
+    marks alone.  Newlines stand where a user symbol was and match nothing.
     """
     inherited = _script("Inherited", dialect)
     singles = [_script(name, dialect) for name in SCRIPTS]
     merged = "".join(_script(name, dialect) for name in MERGED_SCRIPTS) + "ー"
     runs = [rf"[{name}{inherited}]+" for name in (*singles, merged)]
-    rest = rf"[^{WORD_MARK}0-9{''.join(singles)}{merged}]+"
-    symbols = "|".join(symbol.replace("|", r"\|") for symbol in USER_SYMBOLS)
-    return rf"{symbols}|[0-9]|{WORD_MARK}*(?:{'|'.join([*runs, rest])})|{WORD_MARK}+"
+    rest = rf"[^{WORD_MARK}0-9\n{''.join(singles)}{merged}]+"
+    return rf"[0-9]|{WORD_MARK}*(?:{'|'.join([*runs, rest])})|{WORD_MARK}+"
+
+
+def symbol_pattern() -> str:
+    return "|".join(symbol.replace("|", r"\|") for symbol in USER_SYMBOLS)
 
 
 def training_lines(text: Column) -> Column:
@@ -41,6 +44,6 @@ def training_lines(text: Column) -> Column:
 
 
 def line_segments(line: Column) -> Column:
-    """Segments of one line, word marks added, user symbols left out."""
-    found = F.regexp_extract_all(marked(line), F.lit(training_pattern()), F.lit(0))
-    return F.filter(found, lambda piece: ~piece.isin(*USER_SYMBOLS))
+    """Segments of one line, word marks added; no segment crosses a user symbol."""
+    parted = F.regexp_replace(marked(line), symbol_pattern(), "\n")
+    return F.regexp_extract_all(parted, F.lit(training_pattern()), F.lit(0))

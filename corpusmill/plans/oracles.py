@@ -7,8 +7,8 @@ sources), not from the Spark plans.
 from __future__ import annotations
 
 from corpusmill.functions import minhash as mh
-from corpusmill.functions.segments import training_pattern
-from corpusmill.functions.text import EOS_ID, FIRST_BYTE_ID, FIRST_MERGE_ID, MAX_LINE_BYTES, USER_SYMBOLS
+from corpusmill.functions.segments import symbol_pattern, training_pattern
+from corpusmill.functions.text import EOS_ID, FIRST_BYTE_ID, FIRST_MERGE_ID, MAX_LINE_BYTES
 from corpusmill.plans import catalog as c
 
 _DOCS = "docs AS (SELECT lang AS source, doc_id, text FROM documents WHERE text IS NOT NULL AND text <> '')"
@@ -94,9 +94,8 @@ cut AS (SELECT unnest(string_split(text, chr(10))) AS line FROM docs),
 lines AS (SELECT '▁' || replace(line, ' ', '▁') AS m FROM cut WHERE line <> '' AND octet_length(encode(line)) <= {MAX_LINE_BYTES})"""
 _PATTERN = training_pattern("re2").replace("'", "''")
 _WORDS = f"""
-segs AS (SELECT unnest(regexp_extract_all(m, '{_PATTERN}')) AS word FROM lines),
-words AS (SELECT word, count(*) AS n FROM segs
-  WHERE word NOT IN ({", ".join(f"'{s}'" for s in USER_SYMBOLS)}) GROUP BY word)"""
+segs AS (SELECT unnest(regexp_extract_all(regexp_replace(m, '{symbol_pattern()}', chr(10), 'g'), '{_PATTERN}')) AS word FROM lines),
+words AS (SELECT word, count(*) AS n FROM segs GROUP BY word)"""
 _CHARS = f"""
 chars AS (SELECT unnest(regexp_extract_all(m, '(?s).')) AS ch FROM lines),
 counted AS (SELECT ch, count(*) AS n FROM chars GROUP BY ch),

@@ -25,7 +25,8 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     """
     whole = spark.read.text(path, wholetext=True).where("value <> ''")
     lines = whole.select(F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")).alias("id", "line"))
-    parts = F.split("line", "\t")
+    # a piece may itself be a tab, so the score is what follows the last one
+    parts = [F.regexp_extract("line", r"(?s)^(.*)\t(-?[0-9]+)$", group) for group in (1, 2)]
     n_control = len(CONTROL_PIECES)
     kind = (
         F.when(F.col("id") < n_control, "control")
