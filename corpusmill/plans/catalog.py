@@ -255,11 +255,11 @@ def match_jaccard(spark, sf_dir):
 
 
 def word_counts(spark, sf_dir):
-    return vocab.word_counts(_docs(spark, sf_dir))
+    return vocab.word_counts(spread(_docs(spark, sf_dir), "doc_id"))
 
 
 def char_coverage(spark, sf_dir):
-    return vocab.char_coverage(vocab.char_counts(_docs(spark, sf_dir)), COVERAGE)
+    return vocab.char_coverage(vocab.char_counts(spread(_docs(spark, sf_dir), "doc_id")), COVERAGE)
 
 
 def _covered(spark, sf_dir) -> list[str]:
@@ -273,9 +273,8 @@ def pair_counts(spark, sf_dir):
 
 
 def _vocabulary(spark, sf_dir) -> DataFrame:
-    docs = _docs(spark, sf_dir)
     chars = _covered(spark, sf_dir)
-    return vocab.assemble_vocab(spark, vocab.train_bpe(vocab.word_counts(docs), chars, N_MERGES), chars)
+    return vocab.assemble_vocab(spark, vocab.train_bpe(word_counts(spark, sf_dir), chars, N_MERGES), chars)
 
 
 def train_bpe(spark, sf_dir):
