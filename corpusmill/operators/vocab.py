@@ -17,13 +17,13 @@ from corpusmill.functions.text import (
     USER_SYMBOLS,
     marked,
 )
-from corpusmill.session import materialize
+from corpusmill.session import cut_lineage, spread
 
 OPEN, CLOSE = "\x01", "\x02"  # around every symbol of a word while it is merged
 #: most frequent pairs fetched per round
 TOP_PAIRS = 1024
-#: rounds between rewrites of the word and pair tables
-REWRITE_ROUNDS = 8
+#: rounds between checkpoints of the word table
+CHECKPOINT_ROUNDS = 16
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -103,23 +103,6 @@ def pair_counts(words: DataFrame) -> DataFrame:
     )
 
 
-def recount(pairs: DataFrame, words: DataFrame, merges: list[Pair]) -> DataFrame:
-    """Pair counts after some merges: only the words they change count anew."""
-    # a word that holds none of the pairs as it stands is changed by none of them
-    held = F.exists(_steps(merges), lambda step: F.contains(F.col("symbols"), step["apart"]))
-    versions = F.array(
-        F.struct("symbols", (-F.col("n")).alias("n")),
-        F.struct(apply_merges(F.col("symbols"), merges).alias("symbols"), "n"),
-    )
-    changed = pair_counts(words.where(held).select(F.inline(versions)))
-    return (
-        pairs.unionByName(changed)
-        .groupBy("left", "right")
-        .agg(F.sum("n").alias("n"))
-        .where("n > 0")
-    )
-
-
 def best_pairs(pairs: DataFrame, limit: int) -> DataFrame:
     """Highest counts first; ties by the joined piece, then by its left part."""
     return pairs.orderBy(F.desc("n"), F.concat("left", "right"), "left").limit(limit)
@@ -178,61 +161,49 @@ def safe_batch(top: list[Pair], known: set[str], truncated: bool) -> list[Pair]:
     return accepted
 
 
-def _steps(merges: list[Pair]) -> Column:
-    """The merges as one constant array of (apart, joined).
-
-    So the plan looks the same in every round and its compiled code is reused.
-    """
-    return F.array(
-        *[
-            F.struct(
-                F.lit(f"{OPEN}{pair.left}{CLOSE}{OPEN}{pair.right}{CLOSE}").alias("apart"),
-                F.lit(f"{OPEN}{pair.piece}{CLOSE}").alias("joined"),
-            )
-            for pair in merges
-        ]
-    )
-
-
-def apply_merges(symbols: Column, merges: list[Pair]) -> Column:
-    """Join every occurrence of the pairs, one pair after the other, in wrapped words."""
-    return F.aggregate(_steps(merges), symbols, lambda word, step: F.replace(word, step["apart"], step["joined"]))
+def merge_pair(symbols: Column, pair: Pair) -> Column:
+    """Join every occurrence of the pair, left to right, in wrapped words."""
+    apart = f"{OPEN}{pair.left}{CLOSE}{OPEN}{pair.right}{CLOSE}"
+    return F.replace(symbols, F.lit(apart), F.lit(f"{OPEN}{pair.piece}{CLOSE}"))
 
 
 def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: bool = False) -> list[str]:
     """The first ``n_merges`` merged pieces, in merge order.
 
-    ``words`` are counted segments (word, n).  Words and pair counts stay
-    distributed; the driver holds the pieces (at most 65,536) and the top of
-    the pair table.  Between rewrites of the two tables a round starts from
-    their last written state, so nothing else must survive an executor.
+    ``words`` are counted segments (word, n).  The word table stays distributed;
+    the driver holds the pieces (at most 65,536) and the top of the pair table.
+    A round reads the words of the round before from the cache, and what is
+    lost of it is rebuilt from the last checkpoint.
     """
-    table = materialize(covered_words(words, chars), "bpe-words").persist()
-    pairs = materialize(pair_counts(table), "bpe-pairs").persist()
+    # adaptive coalescing would leave a small table on one core for every round
+    table = cut_lineage(spread(cut_lineage(covered_words(words, chars)), "symbols"))
     known = set(chars)
     merged: list[str] = []
-    pending: list[Pair] = []
     rounds = 0
+    older: DataFrame | None = None
     while len(merged) < n_merges:
-        now = recount(pairs, table, pending) if pending else pairs
-        top = [Pair(r["left"], r["right"], r["n"]) for r in best_pairs(now, TOP_PAIRS).collect()]
+        top = [Pair(r["left"], r["right"], r["n"]) for r in best_pairs(pair_counts(table), TOP_PAIRS).collect()]
+        if older is not None:
+            older.unpersist()
         if not top:
             break
         batch = top[:1] if one_by_one else safe_batch(top, known, len(top) == TOP_PAIRS)
-        merged += [pair.piece for pair in batch if pair.piece not in known]
-        known.update(pair.piece for pair in batch)
-        pending += batch
+        symbols = F.col("symbols")
+        for pair in batch:
+            symbols = merge_pair(symbols, pair)
+            if pair.piece not in known:
+                known.add(pair.piece)
+                merged.append(pair.piece)
+        older, table = table, table.withColumn("symbols", symbols).persist()
         rounds += 1
-        if rounds % REWRITE_ROUNDS == 0:
-            old = table, pairs
-            pairs = materialize(recount(pairs, table, pending), "bpe-pairs").persist()
-            rewritten = table.select(apply_merges(F.col("symbols"), pending).alias("symbols"), "n")
-            table = materialize(rewritten, "bpe-words").persist()
-            pending = []
-            for frame in old:
-                frame.unpersist()
+        if rounds % CHECKPOINT_ROUNDS == 0:
+            rewritten = cut_lineage(table)
+            older.unpersist()
+            table.unpersist()
+            older, table = None, rewritten
+    if older is not None:
+        older.unpersist()
     table.unpersist()
-    pairs.unpersist()
     return merged[:n_merges]
 
 
