@@ -40,6 +40,42 @@ def _bases(totals: DataFrame, group: Sequence[str], bits: Sequence[int]) -> Data
     )
 
 
+def _ranges(
+    rows: DataFrame, group: Sequence[str], order_key: str, length: Column | str, bits: Sequence[int]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their range and length, and the start of every range."""
+    length = F.col(length) if isinstance(length, str) else length
+    ranged = rows.withColumn("rng", F.shiftright(F.col(order_key).cast("bigint"), bits[0])).withColumn(
+        "_length", length.cast("bigint")
+    )
+    totals = ranged.groupBy(*group, "rng").agg(F.sum("_length").alias("total"))
+    return ranged, _bases(totals, group, bits[1:])
+
+
+def keep_heads(
+    rows: DataFrame,
+    source: str,
+    order_key: str,
+    length: Column | str,
+    limit: Column | int,
+    bits: Sequence[int] = LEVEL_BITS,
+) -> DataFrame:
+    """Drop rows of ranges that start at or beyond ``limit``, before any shuffle.
+
+    The last range needed is found from range totals alone and comes to the
+    driver as one number per configured source; it turns into a plain bound on
+    the order key, which the scan can use to skip files and row groups.
+    """
+    _, bases = _ranges(rows, [source], order_key, length, bits)
+    limit = F.lit(limit) if isinstance(limit, int) else limit
+    lasts = bases.where(F.col("base") < limit).groupBy(source).agg(F.max("rng").alias("last")).collect()
+    keep = F.lit(False)
+    for row in lasts:
+        bound = min((row["last"] + 1 << bits[0]) - 1, 2**63 - 1)
+        keep = keep | ((F.col(source) == row[source]) & (F.col(order_key) <= F.lit(bound)))
+    return rows.where(keep)
+
+
 def running_start(
     rows: DataFrame,
     group: Sequence[str],
@@ -53,12 +89,7 @@ def running_start(
     by (group, ``rng``), and the output keeps that partitioning; ``rng_start``
     and ``rng_end`` are the bounds of the row's range in the same running sum.
     """
-    length = F.col(length) if isinstance(length, str) else length
-    ranged = rows.withColumn("rng", F.shiftright(F.col(order_key).cast("bigint"), bits[0])).withColumn(
-        "_length", length.cast("bigint")
-    )
-    totals = ranged.groupBy(*group, "rng").agg(F.sum("_length").alias("total"))
-    bases = _bases(totals, group, bits[1:])
+    ranged, bases = _ranges(rows, group, order_key, length, bits)
     window = Window.partitionBy(*group, "rng").orderBy(order_key).rowsBetween(Window.unboundedPreceding, -1)
     return (
         ranged.withColumn("_inside", F.coalesce(F.sum("_length").over(window), F.lit(0)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import EOS_ID, with_eos
-from corpusmill.operators.offsets import LEVEL_BITS, running_start
+from corpusmill.operators.offsets import LEVEL_BITS, keep_heads, running_start
 
 
 def token_offsets(docs: DataFrame, n_tokens: str = "n_tokens", bits: Sequence[int] = LEVEL_BITS) -> DataFrame:
@@ -108,7 +108,11 @@ def pack_blocks(
     ``max_tokens`` each source ends at the block that reaches the cap.
     """
     tokens = F.col("tokens") if tokens is None else tokens
-    cap = None if max_tokens is None else F.lit(capped_blocks(max_tokens, block_size)).cast("bigint")
+    cap = None
+    if max_tokens is not None:
+        blocks = capped_blocks(max_tokens, block_size)
+        docs = keep_heads(docs.where("n_tokens > 0"), "source", "doc_id", F.col("n_tokens") + 1, blocks * block_size, bits)
+        cap = F.lit(blocks).cast("bigint")
     return cut_stream(
         token_offsets(docs, bits=bits), ["source"], with_eos(tokens, eos_id), "stream_tokens", block_size, max_windows=cap
     ).withColumnRenamed("window_id", "block_id")

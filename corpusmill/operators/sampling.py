@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import utf8_length
-from corpusmill.operators.offsets import LEVEL_BITS, running_start
+from corpusmill.operators.offsets import LEVEL_BITS, keep_heads, running_start
 
 
 def per_source(values: Mapping[str, object], source: Column, dtype: str) -> Column:
@@ -27,6 +27,8 @@ def byte_budget_prefix(
     """
     budgets = {name: int(total_bytes * weight) for name, weight in weights.items()}
     known = docs.where(F.col("source").isin(list(budgets)))
-    placed = running_start(known, ["source"], "doc_id", utf8_length(F.col("text")), bits)
     budget = F.greatest(F.lit(1), per_source(budgets, F.col("source"), "bigint"))
+    n_bytes = utf8_length(F.col("text"))
+    heads = keep_heads(known, "source", "doc_id", n_bytes, budget, bits)
+    placed = running_start(heads, ["source"], "doc_id", n_bytes, bits)
     return placed.where(F.col("start") < budget).drop("rng", "rng_start", "rng_end").withColumnRenamed("start", "bytes_before")

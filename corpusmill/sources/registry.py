@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import is_non_empty
-from corpusmill.operators.offsets import running_start
+from corpusmill.operators.offsets import keep_heads, running_start
 
 
 @dataclass(frozen=True)
@@ -56,9 +56,10 @@ def take_docs(docs: DataFrame, n: int) -> DataFrame:
     """The first ``n`` raw rows of each source by doc_id, then the non-empty ones.
 
     A row's place is a running count over key ranges, so one huge source does
-    not end up in one sort.
+    not end up in one sort; ranges after the n-th row are not read again.
     """
-    placed = running_start(docs, ["source"], "doc_id", F.lit(1))
+    heads = keep_heads(docs, "source", "doc_id", F.lit(1), n)
+    placed = running_start(heads, ["source"], "doc_id", F.lit(1))
     return placed.where((F.col("start") < n) & is_non_empty(F.col("text"))).select("source", "doc_id", "text")
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators.batches import batch_windows, epoch_order, next_token_labels
-from corpusmill.operators.offsets import running_start
+from corpusmill.operators.offsets import keep_heads, running_start
 from corpusmill.operators.packing import capped_blocks, pack_blocks
 from corpusmill.operators.shards import chop_blocks, shard_index, shard_table
 
@@ -115,3 +115,10 @@ def test_epochs_differ_but_repeat(spark):
     order = lambda epoch: [r["shard_id"] for r in epoch_order(mix, epoch, 5).orderBy("place").collect()]
     assert order(1) == order(1) != order(2)
     assert sorted(order(1)) == list(range(40))
+
+
+def test_heads_stop_at_the_range_that_reaches_the_limit(spark):
+    df = spark.range(-5, 100).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("s"), F.col("id").alias("k"))
+    kept = keep_heads(df, "s", "k", F.lit(1), F.when(F.col("s") == "a", 3).otherwise(10), bits=(2, 2))
+    ends = {r["s"]: r["last"] for r in kept.groupBy("s").agg(F.max("k").alias("last")).collect()}
+    assert ends == {"a": 2, "b": 15}  # the end of the range of the last row needed
