@@ -8,7 +8,7 @@ def spark():
     session = build_session(
         "tests",
         "local[4]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__driver__memory="4g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
