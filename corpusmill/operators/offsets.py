@@ -45,9 +45,10 @@ def _ranges(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their range and length, and the start of every range."""
     length = F.col(length) if isinstance(length, str) else length
-    ranged = rows.withColumn("rng", F.shiftright(F.col(order_key).cast("bigint"), bits[0])).withColumn(
-        "_length", length.cast("bigint")
-    )
+    # a key that cannot be null keeps the join from adding null tests to some of
+    # the branches, which would make them read the rows anew instead of sharing
+    key = F.coalesce(F.col(order_key).cast("bigint"), F.lit(0))
+    ranged = rows.withColumn("rng", F.shiftright(key, bits[0])).withColumn("_length", length.cast("bigint"))
     totals = ranged.groupBy(*group, "rng").agg(F.sum("_length").alias("total"))
     return ranged, _bases(totals, group, bits[1:])
 
