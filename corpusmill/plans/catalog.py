@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.config import FeedConfig
-from corpusmill.functions import minhash
 from corpusmill.functions.bpe import bpe_decoder, bpe_encoder, byte_decode
 from corpusmill.functions.text import FIRST_MERGE_ID, byte_tokens, is_non_empty
 from corpusmill.operators import batches, dedup, evaluate, metrics, mix, sampling, shards, vocab
