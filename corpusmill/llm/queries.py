@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe_chunks, sharding, token_counts
+from corpusmill.llm import bpe_chunks, language_id, lm_scoring, ngram_jaccard, quality_classifier, sharding, token_counts
 from corpusmill.llm.decontaminate import contamination
 from corpusmill.llm.licenses import license_scan
 from corpusmill.llm.quality_rules import quality_report
@@ -23,14 +23,26 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.near_duplicate_components(_table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), 40)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.digest(bpe_chunks.encode_decode(_table(spark, sf_dir, "documents")))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     items = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
@@ -44,6 +56,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_license_scans, op4_sharding, op6_byte_bpe, op8_decontamination, op9_token_counts,
+    op1_quality_rules, op2_license_scans, op3_ngram_jaccard, op4_sharding, op5_quality_classifier,
+    op6_byte_bpe, op7_lm_scoring, op8_decontamination, op9_token_counts, op10_language_id,
 )}

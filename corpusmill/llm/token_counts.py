@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.text import whole
+from corpusmill.llm.text import in_pieces, whole
 
 TOKEN_LIMIT = 2048
 #: words remembered by a worker before it forgets them all
@@ -75,20 +75,21 @@ def count_tokens(path: str, whole_tokens: list[str]):
             return [len(e.ids) for e in tokenizer.encode_batch(items, add_special_tokens=False)]
 
         for texts in batches:
-            out = []
-            for text in texts:
-                if any(s in text for s in special):
-                    out.append(merged([text])[0])
-                    continue
-                words = text.encode().split()
-                new = [w for w in dict.fromkeys(words) if w not in memo]
+            out: list[int] = []
+            raw = [t.encode() for t in texts]
+            for first, last in in_pieces(raw):
+                odd = {i for i in range(first, last) if any(s in texts.iloc[i] for s in special)}
+                own = {i: raw[i].split() for i in range(first, last) if i not in odd}
+                found = dict.fromkeys(w for words in own.values() for w in words)
+                new = [w for w in found if w not in memo]
+                if len(memo) + len(new) > MEMO_WORDS:
+                    memo.clear()
+                    memo.update(certain)
+                    new = [w for w in found if w not in memo]
                 if new:
-                    if len(memo) + len(new) > MEMO_WORDS:
-                        memo.clear()
-                        memo.update(certain)
-                        new = [w for w in dict.fromkeys(words) if w not in memo]
                     memo.update(zip(new, merged([w.decode() for w in new])))
-                out.append(sum(map(memo.__getitem__, words)))
+                for i in range(first, last):
+                    out.append(merged([texts.iloc[i]])[0] if i in odd else sum(map(memo.__getitem__, own[i])))
             yield pd.Series(out, dtype="int64")
 
     return count
