@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.text import NON_WORD, ascii_lower, row_key, same_key, split_words, whole
+from corpusmill.llm.text import NON_WORD, ascii_lower, join_rows, row_key, split_words, whole
 from corpusmill.session import cut_lineage
 
 WINDOW_WORDS = 10
@@ -131,8 +131,7 @@ def hits_by_document(found: DataFrame) -> DataFrame:
         .agg(F.collect_set("item_id").alias("item_ids"))
     )
     places = places.select("doc_id", "text_md5", union.cast("bigint").alias("n_hit"))
-    left, right = places.alias("p"), items.withColumnsRenamed({"doc_id": "d", "text_md5": "m"})
-    return left.join(right, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_md5") == F.col("m")), "left").select(
+    return join_rows(places, items, "left").select(
         "doc_id", "text_md5", "n_hit", F.coalesce("item_ids", F.array()).alias("item_ids")
     )
 
@@ -142,9 +141,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows = Windows(docs, items)
     found = cut_lineage(hits_by_document(find_windows(docs, windows)))
     base = docs.select(*row_key(), F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"))
-    hits = found.withColumnsRenamed({"doc_id": "_d", "text_md5": "_m"})
-    on = base["doc_id"].eqNullSafe(hits["_d"]) & (base["text_md5"] == hits["_m"])
-    return base.join(hits, on, "left").select(
+    return join_rows(base, found, "left").select(
         "doc_id", "text_md5", "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), F.coalesce("item_ids", F.array()).alias("item_ids"),
     )
@@ -155,4 +152,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows = Windows(docs, items)
     found = cut_lineage(find_windows(docs, windows).select("doc_id", "text_md5").distinct())
     keyed = docs.withColumn("text_md5", row_key()[1])
-    return keyed.join(found, same_key(keyed, found), "left_anti").select(*docs.columns)
+    return join_rows(keyed, found, "left_anti").select(*docs.columns)

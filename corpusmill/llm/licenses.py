@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.text import NON_WORD, ascii_lower, once, row_key, split_words, whole
+from corpusmill.llm.text import NON_WORD, ascii_lower, join_rows, once, row_key, split_words, whole
 from corpusmill.session import cut_lineage
 
 #: share of a template's distinct words that a line must hold
@@ -157,13 +157,12 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     matched = match_lines(docs, prefixes, order).groupBy("doc_id", "text_md5").agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("best")
     )
-    matched = cut_lineage(matched).withColumnsRenamed({"doc_id": "_d", "text_md5": "_m"})
+    matched = cut_lineage(matched)
     base = docs.select(*row_key(), base_places(F.col("text")).alias("b"))
-    on = base["doc_id"].eqNullSafe(matched["_d"]) & (base["text_md5"] == matched["_m"])
     labels = F.transform(F.col("b.places"), lambda p: p["label"])
     starts = F.transform(F.col("b.places"), lambda p: p["start"])
     joined = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")
-    return base.join(matched, on, "left").select(
+    return join_rows(base, matched, "left").select(
         "doc_id",
         F.col("b.n_words").alias("n_words"),
         F.size("b.places").cast("bigint").alias("n_base"),

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.components import connected_components
-from corpusmill.llm.text import hash_words, in_pieces, mix, row_key, same_key
+from corpusmill.llm.text import hash_words, in_pieces, join_rows, mix, row_key
 from corpusmill.session import cut_lineage, materialize
 
 SHINGLE_WORDS, PERCENT = 3, 90
@@ -293,7 +293,7 @@ def keep_first(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCE
     lost = _checked(lost)
     again = _checked(members.groupBy("doc_id", "text_md5").count().where("count > 1").select("doc_id", "text_md5"))
     keyed = docs.withColumn("text_md5", row_key()[1])
-    kept = keyed.join(lost, same_key(keyed, lost), "left_anti")
-    once = kept.join(again, same_key(kept, again), "left_anti")
-    one = kept.join(again, same_key(kept, again), "left_semi").dropDuplicates(["doc_id", "text_md5"])
+    kept = join_rows(keyed, lost, "left_anti")
+    once = join_rows(kept, again, "left_anti")
+    one = join_rows(kept, again, "left_semi").dropDuplicates(["doc_id", "text_md5"])
     return once.unionByName(one).select(*docs.columns)

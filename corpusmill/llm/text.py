@@ -50,8 +50,11 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.col(doc_id), F.md5(F.encode(whole(F.col(text)), "UTF-8")).alias("text_md5")]
 
 
-def same_key(left: DataFrame, right: DataFrame) -> Column:
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_md5"] == right["text_md5"])
+def join_rows(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by (doc_id, text_md5); a null doc_id equals another one."""
+    right = right.withColumnsRenamed({"doc_id": "_id", "text_md5": "_md5"})
+    on = left["doc_id"].eqNullSafe(F.col("_id")) & (left["text_md5"] == F.col("_md5"))
+    return left.join(right, on, how).drop("_id", "_md5")
 
 
 # --- numpy -------------------------------------------------------------------
