@@ -7,9 +7,10 @@ scored one, or a text would vouch for itself.
 
 Documents are dealt to blocks of bounded size.  A block counts its own n-grams,
 so a frequent n-gram is one row per block, not one per place.  The count table
-is partitioned by the n-gram's hash; each block's rows are joined there with the
-others' sum.  Only n-grams that other blocks have too go back to the block,
-where scores are summed per document.
+is partitioned by the leading bits of the n-gram's hash; there each block's rows
+meet the sum over the other blocks.  Only n-grams that other blocks have too go
+back to the block, where scores are summed per document.  On the way n-grams
+of one block and bucket are one row with arrays, 6 bytes and a count each.
 
 Defined cases: a null or empty text has no words and score 0; the first word has
 no context and costs no factor; a word that no other document has counts as
@@ -19,23 +20,29 @@ no context and costs no factor; a word that no other document has counts as
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.text import hash_words, mix, whole
+from corpusmill.llm.text import hash_words, in_pieces, mix, whole
 from corpusmill.session import materialize
 
 ORDER, BACKOFF, UNSEEN = 2, 0.4, 0.5
 #: text of a block; a longer document makes a larger one
 BLOCK_BYTES = 16 << 20
+#: fewest and most leading bits of a hash that name its bucket; 48 more bits tell n-grams apart
+LEAST_BITS, MOST_BITS = 10, 16
 
 
-def ngram_keys(texts: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Words per text; for each order the n-grams' hashes and the number of the text each is in."""
-    words, lengths = hash_words([t.encode().lower() for t in texts])
-    text_of = np.repeat(np.arange(len(texts)), lengths)
+def ngram_keys(texts: list[str], order: int, bits: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Words per text; for each order the n-grams' hashes of 48 + bits bits and the number of the text each is in."""
+    raw = [t.encode().lower() for t in texts]
+    parts = [hash_words(raw[first:last]) for first, last in in_pieces(raw)] or [hash_words([])]
+    words, lengths = (np.concatenate(x) for x in zip(*parts))
+    text_of = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     keys, owners = [words], [text_of]
     for n in range(2, order + 1):
         with np.errstate(over="ignore"):
@@ -43,17 +50,28 @@ def ngram_keys(texts: list[str], order: int) -> tuple[np.ndarray, list[np.ndarra
         same = text_of[: len(longer)] == text_of[n - 1 : n - 1 + len(longer)]
         # an n-gram over two texts is none; it stays in place and is left out by its owner
         keys.append(longer)
-        owners.append(np.where(same, text_of[: len(longer)], -1))
-    return lengths, keys, owners
+        owners.append(np.where(same, text_of[: len(longer)], np.int32(-1)))
+    return lengths, [k >> np.uint64(16 - bits) for k in keys], owners
+
 
+def _count_block(order: int, bits: int):
+    """Rows (block, bucket, mid, low, n): a block's n-grams by bucket, their hashes' lower 48 bits in two arrays."""
 
-def _count_block(order: int):
     def count(block: pd.DataFrame) -> pd.DataFrame:
-        _, keys, owners = ngram_keys(block["text"].tolist(), order)
+        _, keys, owners = ngram_keys(block["text"].tolist(), order, bits)
         found = [np.unique(k[o >= 0], return_counts=True) for k, o in zip(keys, owners)]
+        grams, n = np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found]).astype(np.int32)
+        ordered = np.argsort(grams, kind="stable")
+        grams, n = grams[ordered], n[ordered]
+        bucket = (grams >> np.uint64(48)).astype(np.int32)
+        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        mid = ((grams >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
+        low = (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+        if not len(grams):
+            return pd.DataFrame({"block": [], "bucket": [], "mid": [], "low": [], "n": []})
         return pd.DataFrame({
-            "gram": np.concatenate([k for k, _ in found]).view(np.int64), "block": block["block"].iloc[0],
-            "n": np.concatenate([n for _, n in found]),
+            "block": block["block"].iloc[0], "bucket": bucket[np.concatenate(([0], cuts))],
+            "mid": np.split(mid, cuts), "low": np.split(low, cuts), "n": np.split(n, cuts),
         })
 
     return count
@@ -72,12 +90,12 @@ def _counts(keys: np.ndarray, owners: np.ndarray, other: np.ndarray, other_n: np
     return out
 
 
-def _score_block(order: int):
+def _score_block(order: int, bits: int):
     def score(block: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
-        lengths, keys, owners = ngram_keys(block["text"].tolist(), order)
-        other = shared["gram"].to_numpy(np.int64).view(np.uint64)
+        lengths, keys, owners = ngram_keys(block["text"].tolist(), order, bits)
+        other = np.concatenate([np.zeros(0, np.int64), *shared["grams"]]).view(np.uint64)
         ordered = np.argsort(other)
-        other, other_n = other[ordered], shared["others"].to_numpy(np.int64)[ordered]
+        other, other_n = other[ordered], np.concatenate([np.zeros(0, np.int64), *shared["others"]])[ordered]
         words = len(keys[0])
         counts = [_counts(k, o, other, other_n) for k, o in zip(keys, owners)]
         text_of = owners[0]
@@ -116,13 +134,29 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
     # a function of the row, so a repeated task deals alike; repeated rows share a block
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     dealt = dealt.select("doc_id", "text", "block")
-    grams = dealt.groupBy("block").applyInPandas(_count_block(order), "gram bigint, block int, n bigint")
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(4 * blocks))))
+    packed = dealt.groupBy("block").applyInPandas(
+        _count_block(order, bits), "block int, bucket int, mid array<smallint>, low array<int>, n array<int>"
+    )
+    table = packed.repartition("bucket").select("block", "bucket", F.explode(F.arrays_zip("mid", "low", "n")).alias("g"))
+    gram = (
+        F.shiftleft(F.col("bucket").cast("bigint"), 48)
+        .bitwiseOR(F.shiftleft(F.col("g.mid").cast("bigint").bitwiseAND(F.lit(0xFFFF)), 32))
+        .bitwiseOR(F.col("g.low").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
+    )
     # a row per block and n-gram: the group of one n-gram is at most the number of blocks
-    everywhere = F.sum("n").over(Window.partitionBy("gram"))
-    shared = grams.withColumn("others", everywhere - F.col("n")).where("others > 0").select("block", "gram", "others")
+    everywhere = F.sum("n").over(Window.partitionBy("bucket", "gram"))
+    shared = (
+        table.select("block", "bucket", gram.alias("gram"), F.col("g.n").cast("bigint").alias("n"))
+        .withColumn("others", everywhere - F.col("n"))
+        .where("others > 0")
+        # at most a block's n-grams of one bucket
+        .groupBy("block", "bucket")
+        .agg(F.collect_list("gram").alias("grams"), F.collect_list("others").alias("others"))
+    )
     # one plan for both, so the exchange of texts is written once
     scored = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(
-        _score_block(order), "doc_id bigint, n_words bigint, n_backed_off bigint, n_unigram bigint, log_sum double"
+        _score_block(order, bits), "doc_id bigint, n_words bigint, n_backed_off bigint, n_unigram bigint, log_sum double"
     )
     scored = materialize(scored, "lm-sums")
     total = scored.agg(F.sum("n_words")).first()[0] or 0
