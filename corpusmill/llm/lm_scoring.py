@@ -32,7 +32,7 @@ from corpusmill.session import materialize
 
 ORDER, BACKOFF, UNSEEN = 2, 0.4, 0.5
 #: text of a block; a longer document makes a larger one
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: fewest and most leading bits of a hash that name its bucket; 48 more bits tell n-grams apart
 LEAST_BITS, MOST_BITS = 10, 16
 
@@ -90,12 +90,23 @@ def _counts(keys: np.ndarray, owners: np.ndarray, other: np.ndarray, other_n: np
     return out
 
 
+def _unpack(shared: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of packed rows, and the counts that go with them."""
+    none = np.zeros(0, np.int32)
+    sizes = np.fromiter(map(len, shared["low"]), np.int64, len(shared))
+    bucket = np.repeat(shared["bucket"].to_numpy(np.int64), sizes) << 48
+    mid = np.concatenate([none, *shared["mid"]]).astype(np.int64) & 0xFFFF
+    low = np.concatenate([none, *shared["low"]]).astype(np.int64) & 0xFFFFFFFF
+    grams = (bucket | mid << 32 | low).view(np.uint64)
+    ordered = np.argsort(grams)
+    others = np.concatenate([none, *shared["upper"]]).astype(np.int64) << 31 | np.concatenate([none, *shared["others"]])
+    return grams[ordered], others[ordered]
+
+
 def _score_block(order: int, bits: int):
     def score(block: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         lengths, keys, owners = ngram_keys(block["text"].tolist(), order, bits)
-        other = np.concatenate([np.zeros(0, np.int64), *shared["grams"]]).view(np.uint64)
-        ordered = np.argsort(other)
-        other, other_n = other[ordered], np.concatenate([np.zeros(0, np.int64), *shared["others"]])[ordered]
+        other, other_n = _unpack(shared)
         words = len(keys[0])
         counts = [_counts(k, o, other, other_n) for k, o in zip(keys, owners)]
         text_of = owners[0]
@@ -138,21 +149,22 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
     packed = dealt.groupBy("block").applyInPandas(
         _count_block(order, bits), "block int, bucket int, mid array<smallint>, low array<int>, n array<int>"
     )
-    table = packed.repartition("bucket").select("block", "bucket", F.explode(F.arrays_zip("mid", "low", "n")).alias("g"))
-    gram = (
-        F.shiftleft(F.col("bucket").cast("bigint"), 48)
-        .bitwiseOR(F.shiftleft(F.col("g.mid").cast("bigint").bitwiseAND(F.lit(0xFFFF)), 32))
-        .bitwiseOR(F.col("g.low").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
-    )
+    table = packed.repartition("bucket").select("block", "bucket", F.inline(F.arrays_zip("mid", "low", "n")))
     # a row per block and n-gram: the group of one n-gram is at most the number of blocks
-    everywhere = F.sum("n").over(Window.partitionBy("bucket", "gram"))
+    everywhere = F.sum(F.col("n").cast("bigint")).over(Window.partitionBy("bucket", "mid", "low"))
+    others = everywhere - F.col("n")
     shared = (
-        table.select("block", "bucket", gram.alias("gram"), F.col("g.n").cast("bigint").alias("n"))
-        .withColumn("others", everywhere - F.col("n"))
+        table.withColumn("others", others)
         .where("others > 0")
-        # at most a block's n-grams of one bucket
+        # at most a block's n-grams of one bucket; a count in two halves, the upper one of which is nearly always 0
+        .select("block", "bucket", F.struct(
+            "mid", "low", F.col("others").bitwiseAND(F.lit(2**31 - 1)).cast("int").alias("others"),
+            F.shiftright("others", 31).cast("int").alias("upper"),
+        ).alias("g"))
         .groupBy("block", "bucket")
-        .agg(F.collect_list("gram").alias("grams"), F.collect_list("others").alias("others"))
+        .agg(F.collect_list("g").alias("g"))
+        .select("block", "bucket", F.col("g.mid").alias("mid"), F.col("g.low").alias("low"), F.col("g.others").alias("others"),
+                F.col("g.upper").alias("upper"))
     )
     # one plan for both, so the exchange of texts is written once
     scored = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(
