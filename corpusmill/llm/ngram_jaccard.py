@@ -182,13 +182,28 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
+def _sets_of(pairs: DataFrame, texts: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """Rows (node, shingles) of the classes in pairs (a, b), from one document each, which is read again."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ids = documents.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_id")).join(wanted, "node", "left_semi")
+    ids = cut_lineage(ids.select("_id").distinct())
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    chosen = texts.join(ids, texts["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
+    return materialize(
+        chosen.mapInArrow(_sets(width), "node binary, shingles array<bigint>").dropDuplicates(["node"]), "shingle-sets"
+    )
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets meet the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("sa", "sb")).cast("bigint")
-    return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    return cut_lineage(
+        both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    )
 
 
 def similarity_classes(
@@ -218,22 +233,13 @@ def similarity_classes(
         "prefix-tokens",
     )
 
-    # sets of the classes that share a prefix shingle, from one document each
-    wanted = tokens.select("node").distinct()
-    again = cut_lineage(documents.groupBy("node").agg(F.min("doc_id").alias("_id")).join(wanted, "node", "left_semi").select("_id").distinct())
-    if again.count() <= BROADCAST_IDS:
-        again = F.broadcast(again)
-    chosen = texts.join(again, texts["doc_id"].eqNullSafe(again["_id"]), "left_semi").select("text")
-    sets = chosen.mapInArrow(_sets(width), "node binary, shingles array<bigint>").dropDuplicates(["node"])
-    sets = materialize(sets.join(wanted, "node", "left_semi"), "shingle-sets")
-
     # first every holder against the smallest one and the one before it
     near = tokens.select("node", "n", F.explode(F.array(
         F.struct(F.col("first_node").alias("node"), F.col("first_n").alias("n")),
         F.struct(F.col("last_node").alias("node"), F.col("last_n").alias("n")),
     )).alias("o")).where(F.col("o.node") != F.col("node")).where(_sizes_fit(F.col("n"), F.col("o.n"), percent))
     tried = cut_lineage(near.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct())
-    links = cut_lineage(_verified(tried, sets, percent))
+    links = _verified(tried, _sets_of(tried, texts, documents, width), percent)
     joined = connected_components(links)
 
     # then pairs of holders in different components
@@ -254,8 +260,9 @@ def similarity_classes(
     pairs = met.where((F.col("shared") >= F.least("k", "k_b")) & (bound >= need)).select(
         F.col("node").alias("a"), F.col("node_b").alias("b")
     )
-    more = _verified(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent)
-    return documents, links.unionByName(cut_lineage(more))
+    pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"))
+    more = _verified(pairs, _sets_of(pairs, texts, documents, width), percent)
+    return documents, links.unionByName(more)
 
 
 def _members(docs: DataFrame, width: int, percent: int) -> DataFrame:
