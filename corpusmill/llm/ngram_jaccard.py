@@ -23,7 +23,6 @@ are not read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -125,42 +124,41 @@ def _sum_vectors(described: DataFrame, counters: int) -> np.ndarray:
 
 
 def prefix_length(n: int, matches: int, percent: int = PERCENT) -> int:
-    """Shingles of which a linked set shares at least ``matches``."""
+    """Shingles of which a linked set shares at least ``matches``, or all that it must share."""
     return min(n, n - -(-percent * n // 100) + matches)
 
 
-def choose_matches(counts: np.ndarray, percent: int = PERCENT) -> int:
-    """The number of matches to ask for; ``counts`` are other holders by rank."""
-    n, best, cheapest = len(counts), 1, math.inf
-    sums = np.cumsum(counts)
-    for k in range(1, min(MOST_MATCHES, -(-percent * n // 100)) + 1):
-        rows = float(sums[prefix_length(n, k, percent) - 1])
-        cost = rows + VERIFY_COST * rows / k
-        if cost < cheapest:
-            best, cheapest = k, cost
-    return best
+def choose_matches(tokens: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Rows (node, k): the number of matches each class asks for, at the least estimated cost.
+
+    ``tokens`` has the longest prefixes with the holders of each shingle.  With k
+    matches the prefix makes the sum of other holders as join rows, and at most
+    1/k of them as pairs to verify.
+    """
+    need = F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9)
+    costs = []
+    for k in range(1, MOST_MATCHES + 1):
+        rows = F.sum(F.when(F.col("at") < F.col("n") - need + k, F.col("holders") - 1).otherwise(0))
+        cost = F.when(F.first("n") - F.first(F.col("n") - need) >= k, rows * (1 + VERIFY_COST / k))
+        costs.append(F.when(cost.isNotNull(), F.struct(cost.alias("cost"), F.lit(k).alias("k"))))
+    return tokens.groupBy("node").agg(F.least(*costs)["k"].alias("k"))
 
 
 def _prefixes(width: int, percent: int, counters: int, totals):
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = totals.value
-        # what a counter holds by chance says nothing about one shingle
-        chance = known.mean() + 3 * known.std() if known.std() < known.mean() else np.median(known) * 1.5
         for batch in batches:
-            nodes, sizes, asked, tokens = [], [], [], []
+            nodes, sizes, tokens = [], [], []
             for shingles in shingle_sets(batch.column(0).to_pylist(), width):
                 if not len(shingles):
                     continue
-                counts = known[(shingles % np.uint64(counters)).astype(np.int64)]
-                order = np.lexsort((shingles, counts))
-                k = choose_matches(np.maximum(counts[order] - chance, 0), percent)
+                order = np.lexsort((shingles, known[(shingles % np.uint64(counters)).astype(np.int64)]))
                 nodes.append(_node(shingles))
                 sizes.append(len(shingles))
-                asked.append(k)
-                tokens.append(shingles[order[: prefix_length(len(shingles), k, percent)]].view(np.int64))
+                tokens.append(shingles[order[: prefix_length(len(shingles), MOST_MATCHES, percent)]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(asked, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))],
-                ["node", "n", "k", "prefix"],
+                [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
+                ["node", "n", "prefix"],
             )
 
     return prefixes
@@ -218,10 +216,10 @@ def similarity_classes(
     documents = described.where(F.col("counts").isNull()).drop("counts")
     totals = spark.sparkContext.broadcast(_sum_vectors(described, counters))
     prefixes = texts.select("text").mapInArrow(
-        _prefixes(width, percent, counters, totals), "node binary, n bigint, k int, prefix array<bigint>"
+        _prefixes(width, percent, counters, totals), "node binary, n bigint, prefix array<bigint>"
     )
     # a class once, then a row per prefix shingle; a window over it tells who else has it
-    each = prefixes.dropDuplicates(["node"]).select("node", "n", "k", F.posexplode("prefix").alias("at", "token"))
+    each = prefixes.dropDuplicates(["node"]).select("node", "n", F.posexplode("prefix").alias("at", "token"))
     holders = Window.partitionBy("token")
     in_order = holders.orderBy("n", "node")
     tokens = materialize(
@@ -233,12 +231,20 @@ def similarity_classes(
         "prefix-tokens",
     )
 
-    # first every holder against the smallest one and the one before it
-    near = tokens.select("node", "n", F.explode(F.array(
+    matches = choose_matches(tokens, percent)
+    in_prefix = F.col("at") < F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) + F.col("k")
+    tokens = materialize(tokens.join(matches, "node").where(in_prefix), "chosen-prefixes")
+
+    # first every holder against the smallest one and the one before it; this step may miss pairs, so it
+    # takes only those that meet often
+    near = tokens.select("node", "n", "k", F.explode(F.array(
         F.struct(F.col("first_node").alias("node"), F.col("first_n").alias("n")),
         F.struct(F.col("last_node").alias("node"), F.col("last_n").alias("n")),
     )).alias("o")).where(F.col("o.node") != F.col("node")).where(_sizes_fit(F.col("n"), F.col("o.n"), percent))
-    tried = cut_lineage(near.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct())
+    near = near.groupBy(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).agg(
+        F.count("*").alias("shared"), F.min("k").alias("k")
+    )
+    tried = cut_lineage(near.where(F.col("shared") >= F.least("k", F.lit(3))).select("a", "b"))
     links = _verified(tried, _sets_of(tried, texts, documents, width), percent)
     joined = connected_components(links)
 
