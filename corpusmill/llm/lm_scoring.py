@@ -68,7 +68,7 @@ def _count_block(order: int, bits: int):
         mid = ((grams >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
         low = (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
         if not len(grams):
-            return pd.DataFrame({"block": [], "bucket": [], "mid": [], "low": [], "n": []})
+            return pd.DataFrame({"block": [], "bucket": [], "mid": [], "low": [], "n": []}, dtype=object)
         return pd.DataFrame({
             "block": block["block"].iloc[0], "bucket": bucket[np.concatenate(([0], cuts))],
             "mid": np.split(mid, cuts), "low": np.split(low, cuts), "n": np.split(n, cuts),
