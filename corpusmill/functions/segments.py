@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import MAX_LINE_BYTES, USER_SYMBOLS, WORD_MARK, is_non_empty, marked, utf8_length
+from corpusmill.functions.text import USER_SYMBOLS, WORD_MARK, is_non_empty, marked
 
 # --- fixed values: scripts that a piece may not mix -------------------------
 SCRIPTS = (
@@ -39,8 +39,8 @@ def symbol_pattern() -> str:
 
 
 def training_lines(text: Column) -> Column:
-    """Lines of a text that the trainer reads: not empty, not over-long."""
-    return F.filter(F.split(text, "\n"), lambda line: is_non_empty(line) & (utf8_length(line) <= MAX_LINE_BYTES))
+    """Lines of a text that the trainer reads: not empty."""
+    return F.filter(F.split(text, "\n"), lambda line: is_non_empty(line))
 
 
 def line_segments(line: Column) -> Column:

@@ -15,8 +15,6 @@ FIRST_BYTE_ID = 6  # three control pieces and three user symbols come first
 FIRST_MERGE_ID = 262  # 6 + 256 byte pieces
 WORD_MARK = "▁"  # stands for a space inside pieces
 MAX_TOKEN_ID = 65535  # ids are stored as unsigned 16-bit
-MAX_PIECE_CHARS = 16
-MAX_LINE_BYTES = 4192
 # ----------------------------------------------------------------------------
 
 

@@ -12,7 +12,6 @@ from corpusmill.functions.text import (
     CONTROL_PIECES,
     FIRST_BYTE_ID,
     FIRST_MERGE_ID,
-    MAX_PIECE_CHARS,
     MAX_TOKEN_ID,
     USER_SYMBOLS,
     marked,
@@ -90,17 +89,15 @@ def _inner_pairs(words: DataFrame) -> DataFrame:
     return words.select(symbols.alias("s"), "n").where(size > 1).select(F.inline(pairs), "n")
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
+def pair_counts(words: DataFrame, max_piece_chars: int | None = None) -> DataFrame:
     """Adjacent symbols (left, right) with the count of their words.
 
-    Pairs too long for a piece are left out.
+    Pairs longer than ``max_piece_chars`` are left out, if that is given.
     """
-    return (
-        _inner_pairs(words)
-        .groupBy("left", "right")
-        .agg(F.sum("n").alias("n"))
-        .where(F.length("left") + F.length("right") <= MAX_PIECE_CHARS)
-    )
+    pairs = _inner_pairs(words).groupBy("left", "right").agg(F.sum("n").alias("n"))
+    if max_piece_chars is None:
+        return pairs
+    return pairs.where(F.length("left") + F.length("right") <= max_piece_chars)
 
 
 def best_pairs(pairs: DataFrame, limit: int) -> DataFrame:

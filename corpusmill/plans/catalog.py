@@ -135,7 +135,7 @@ def block_keys(spark, sf_dir):
 
 
 def tokenize_to_shards(spark, sf_dir):
-    return _shards(spark, sf_dir, cap=CAP_TOKENS).drop("block_id").withColumn("tokens", F.array_join("tokens", ","))
+    return _shards(spark, sf_dir).drop("block_id").withColumn("tokens", F.array_join("tokens", ","))
 
 
 def shard_roundtrip(spark, sf_dir):
@@ -327,7 +327,7 @@ def eval_limit(spark, sf_dir):
 
 def bigram_perplexity(spark, sf_dir):
     train = evaluate.bigram_counts(_split_blocks(spark, sf_dir, "train"))
-    rows = evaluate.eval_limit(_split_blocks(spark, sf_dir, "eval"), EVAL_BATCHES)
+    rows = _split_blocks(spark, sf_dir, "eval")
     scores = evaluate.bigram_scores(train, evaluate.bigram_counts(rows, ["source"]), FIRST_MERGE_ID, SMOOTHING)
     return evaluate.perplexity(scores, ["source"]).select(
         "source", F.round("total_nll", 4).alias("total_nll"), "n_tokens", F.round("perplexity", 6).alias("perplexity")
@@ -347,14 +347,19 @@ def eval_report(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("source").alias("task"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = docs.join(labels, "doc_id", "left").groupBy("task")
-    # tasks with few scored items lack the first metric, tasks with none lack both
+    # a metric is missing only where nothing is scored
     results = scored.agg(
-        F.when(F.count("quality") >= 20, F.round(F.avg("quality"), 6)).alias("acc"),
-        F.when(F.count("toxic") >= 10, F.round(F.avg(1 - F.col("toxic")), 6)).alias("acc_norm"),
+        F.round(F.avg("quality"), 6).alias("acc"),
+        F.round(F.avg(1 - F.col("toxic")), 6).alias("acc_norm"),
     ).unpivot("task", ["acc", "acc_norm"], "metric", "value")
     return evaluate.eval_report(results)
 
 
+def quality_filter(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "n_chars")
+    return registry.quality_filter(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), 1)
+
+
 def _micro_steps(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("event_id").alias("micro_step"),
@@ -394,13 +399,21 @@ def stream_scan(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-def stream_pack(spark, sf_dir):
+def _packed_stream(spark, sf_dir, max_tokens=None):
     root = scratch_path(spark, "stream-pack")
-    handler = stream_pack_ops.PackStream(root, FEED_BLOCK, max_tokens=CAP_TOKENS)
+    handler = stream_pack_ops.PackStream(root, FEED_BLOCK, max_tokens=max_tokens)
     stream_scan_ops.run_batches(_document_stream(spark, sf_dir, "documents"), handler, f"{root}/log").awaitTermination()
     return spark.read.parquet(f"{root}/blocks").select("source", "block_id", _joined("tokens"))
 
 
+def stream_pack(spark, sf_dir):
+    return _packed_stream(spark, sf_dir)
+
+
+def stream_cap(spark, sf_dir):
+    return _packed_stream(spark, sf_dir, CAP_TOKENS)
+
+
 def stream_dedup(spark, sf_dir):
     root = scratch_path(spark, "stream-dedup")
     blocks = _dedup_blocks(spark, sf_dir).select("ord", "tokens")
@@ -477,6 +490,8 @@ QUERIES = {
     "metrics_rollup": metrics_rollup,
     "stream_scan": stream_scan,
     "stream_pack": stream_pack,
+    "stream_cap": stream_cap,
+    "quality_filter": quality_filter,
     "stream_dedup": stream_dedup,
     "stream_metrics": stream_metrics,
 }

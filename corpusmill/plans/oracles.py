@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from corpusmill.functions import minhash as mh
 from corpusmill.functions.segments import symbol_pattern, training_pattern
-from corpusmill.functions.text import EOS_ID, FIRST_BYTE_ID, FIRST_MERGE_ID, MAX_LINE_BYTES
+from corpusmill.functions.text import EOS_ID, FIRST_BYTE_ID, FIRST_MERGE_ID
 from corpusmill.plans import catalog as c
 
 _DOCS = "docs AS (SELECT lang AS source, doc_id, text FROM documents WHERE text IS NOT NULL AND text <> '')"
@@ -91,7 +91,7 @@ bands AS MATERIALIZED ({" UNION ALL ".join(_band(i) for i in range(mh.BANDS))})"
 # --- vocabulary ---
 _LINES = f"""
 cut AS (SELECT unnest(string_split(text, chr(10))) AS line FROM docs),
-lines AS (SELECT '▁' || replace(line, ' ', '▁') AS m FROM cut WHERE line <> '' AND octet_length(encode(line)) <= {MAX_LINE_BYTES})"""
+lines AS (SELECT '▁' || replace(line, ' ', '▁') AS m FROM cut WHERE line <> '')"""
 _PATTERN = training_pattern("re2").replace("'", "''")
 _WORDS = f"""
 segs AS (SELECT unnest(regexp_extract_all(regexp_replace(m, '{symbol_pattern()}', chr(10), 'g'), '{_PATTERN}')) AS word FROM lines),
@@ -182,7 +182,7 @@ FROM toks WHERE tok <> {EOS_ID} GROUP BY ALL HAVING count(*) = {c.FEED_BLOCK}"""
     "shard_index": _with(*_FEED) + "SELECT source, block_id, shard_id, block_in_shard FROM numbered",
     "block_keys": _with(*_FEED)
     + "SELECT source, block_id, source || '/train/shard_' || lpad(shard_id::VARCHAR, 5, '0') || '.bin:' || block_in_shard AS key FROM numbered",
-    "tokenize_to_shards": _with(*_BASE, _blocks(c.FEED_BLOCK, c.CAP_TOKENS), _numbered(c.FEED_BLOCK))
+    "tokenize_to_shards": _with(*_BASE, _blocks(c.FEED_BLOCK), _numbered(c.FEED_BLOCK))
     + "SELECT source, 'train' AS split, shard_id, block_in_shard, tokens FROM numbered",
     "shard_roundtrip": _with(*_FEED) + "SELECT source, 'train' AS split, shard_id, block_in_shard, tokens FROM numbered",
     "shard_manifest": _with(*_FEED, _SHARDS) + "SELECT source, 'train' AS split, shard_id, n_tokens FROM shards",
@@ -263,15 +263,15 @@ SELECT source, least(block_id, block_id * {c.SEQ_LEN} // {c.EVAL_SHARD_TOKENS})
 , seen AS (SELECT prev, next, count(*) AS n FROM pairs_t WHERE next IS NOT NULL GROUP BY ALL),
 context AS (SELECT prev, sum(n) AS n FROM seen GROUP BY prev),
 scored AS (SELECT e.source, -ln((coalesce(s.n, 0) + {c.SMOOTHING}) / (coalesce(x.n, 0) + {c.SMOOTHING * FIRST_MERGE_ID})) AS nll
-  FROM pairs_e e LEFT JOIN seen s USING (prev, next) LEFT JOIN context x USING (prev) WHERE next IS NOT NULL AND {_EVAL_ROWS})
+  FROM pairs_e e LEFT JOIN seen s USING (prev, next) LEFT JOIN context x USING (prev) WHERE next IS NOT NULL)
 SELECT source, round(sum(nll), 4) AS total_nll, count(*) AS n_tokens, round(exp(sum(nll) / greatest(1, count(*))), 6) AS perplexity
 FROM scored GROUP BY source""",
     "perplexity": """
 SELECT event_type, count(*) AS n_tokens, round(exp(sum(value / 100) / greatest(1, count(*))), 6) AS perplexity
 FROM events GROUP BY event_type""",
     "eval_report": """
-WITH scored AS (SELECT d.source AS task, CASE WHEN count(quality) >= 20 THEN round(avg(quality), 6) END AS a,
-  CASE WHEN count(toxic) >= 10 THEN round(avg(1 - toxic), 6) END AS b
+WITH scored AS (SELECT d.source AS task, round(avg(quality), 6) AS a,
+  round(avg(1 - toxic), 6) AS b
   FROM documents d LEFT JOIN labels USING (doc_id) GROUP BY d.source)
 SELECT task, coalesce(a, b) AS acc, coalesce(format('{:.4f}', coalesce(a, b)), 'N/A') AS shown FROM scored""",
     "metrics_rollup": _with(_STEPS)
@@ -280,7 +280,10 @@ SELECT g * {c.LOG_EVERY} AS step, round(loss, 9) AS loss, round(exp(least(loss,
   (g * {c.LOG_EVERY * c.TOKENS_PER_STEP})::BIGINT AS tokens_seen,
   round(CASE WHEN elapsed < 1e-6 THEN 0 ELSE {c.LOG_EVERY * c.TOKENS_PER_STEP} / elapsed END, 6) AS tok_per_sec FROM timed""",
     "stream_scan": _with(_DOCS) + "SELECT source, doc_id, text FROM docs",
-    "stream_pack": _with(*_BASE, _blocks(c.FEED_BLOCK, c.CAP_TOKENS)) + _PACKED,
+    "stream_pack": _with(*_BASE, _blocks(c.FEED_BLOCK)) + _PACKED,
+    "stream_cap": _with(*_BASE, _blocks(c.FEED_BLOCK, c.CAP_TOKENS)) + _PACKED,
+    "quality_filter": """
+SELECT d.doc_id, d.source, d.n_chars, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE l.quality >= 1""",
     "stream_metrics": f"""
 SELECT g * {c.LOG_EVERY} AS step, count(*) AS n_steps, round(avg(loss), 9) AS loss, round(exp(least(avg(loss), 20)), 6) AS ppl,
   (g * {c.LOG_EVERY * c.TOKENS_PER_STEP})::BIGINT AS tokens_seen

@@ -77,3 +77,9 @@ def split_train_eval(docs: DataFrame, eval_per_mille: int) -> DataFrame:
 def write_corpus_text(docs: DataFrame, path: str) -> None:
     """Text files with one newline-ended record per document."""
     docs.select("text").write.text(path)
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """Documents whose label reaches the threshold, with it; documents without a label go."""
+    good = labels.where(F.col("quality") >= threshold).select("doc_id", "quality")
+    return docs.join(good, "doc_id").select(*docs.columns, "quality")
