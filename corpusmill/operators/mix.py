@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.config import FeedConfig
 from corpusmill.operators.sampling import per_source
 
 
@@ -72,18 +71,21 @@ def mix_report(shards: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     )
 
 
-def budget_report(shards: DataFrame, config: FeedConfig) -> DataFrame:
-    """Tokens each source must supply for the run against what it has."""
+def budget_report(shards: DataFrame, weights: Mapping[str, float], run_tokens: int, step_tokens: int) -> DataFrame:
+    """Tokens each source must supply for a run against what it has.
+
+    The run reads ``run_tokens`` in whole steps of ``step_tokens``.
+    """
     available = shards.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
     return (
-        weight_table(shards.sparkSession, config.source_weights)
+        weight_table(shards.sparkSession, weights)
         .join(available, "source", "left")
         .select(
             "source",
             "weight",
-            F.lit(config.tokens_per_step).cast("bigint").alias("tokens_per_step"),
-            F.lit(config.total_steps).cast("bigint").alias("total_steps"),
-            F.floor(F.col("weight") * config.total_tokens).cast("bigint").alias("needed_tokens"),
+            F.lit(step_tokens).cast("bigint").alias("tokens_per_step"),
+            F.lit(run_tokens // step_tokens).cast("bigint").alias("total_steps"),
+            F.floor(F.col("weight") * run_tokens).cast("bigint").alias("needed_tokens"),
             F.coalesce("available_tokens", F.lit(0)).cast("bigint").alias("available_tokens"),
         )
         .withColumn("enough", F.col("available_tokens") >= F.col("needed_tokens"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.config import FeedConfig
 from corpusmill.functions.bpe import bpe_decoder, bpe_encoder, byte_decode
 from corpusmill.functions.text import FIRST_MERGE_ID, byte_tokens, is_non_empty
 from corpusmill.operators import batches, dedup, evaluate, metrics, mix, sampling, shards, vocab
@@ -40,10 +39,9 @@ N_MERGES = 150
 EPOCH, SEED = 1, 7
 SEQ_LEN, MICRO_BATCH = 128, 4
 SMOOTHING = 0.5
+MIN_SHINGLES = 10  # lsh_bands leaves poorer blocks out
 GRAD_ACCUM, LOG_EVERY, TOKENS_PER_STEP = 4, 10, 4096
-FEED = FeedConfig(
-    source_weights=MIX_WEIGHTS, total_tokens=2_000_000, seq_len=SEQ_LEN, micro_batch=MICRO_BATCH, grad_accum_steps=2
-)
+RUN_TOKENS, STEP_TOKENS = 2_000_000, SEQ_LEN * MICRO_BATCH * 2  # two micro-batches a step
 
 
 def _sources(sf_dir: str) -> dict[str, registry.SourceSpec]:
@@ -179,7 +177,7 @@ def mix_report(spark, sf_dir):
 
 
 def budget_report(spark, sf_dir):
-    return mix.budget_report(_shard_table(spark, sf_dir), FEED)
+    return mix.budget_report(_shard_table(spark, sf_dir), MIX_WEIGHTS, RUN_TOKENS, STEP_TOKENS)
 
 
 def _epoch(spark, sf_dir) -> DataFrame:
@@ -225,7 +223,7 @@ def minhash_signature(spark, sf_dir):
 
 
 def lsh_bands(spark, sf_dir):
-    return dedup.lsh_bands(dedup.block_bands(_sketches(spark, sf_dir))).select("band", "n_blocks", "first_ord")
+    return dedup.lsh_bands(dedup.block_bands(_sketches(spark, sf_dir), MIN_SHINGLES)).select("band", "n_blocks", "first_ord")
 
 
 def dedup_flags(spark, sf_dir):

@@ -83,9 +83,10 @@ def _band(i: int) -> str:
     return f"SELECT ord, {i} AS band, concat_ws(',', {rows}) AS k FROM usable"
 
 
-_BAND_ROWS = f"""
+def _band_rows(min_shingles: int = 1) -> str:
+    return f"""
 usable AS (SELECT s.*, ({_RANK})::BIGINT * {2**40} + s.block_id AS ord FROM sigs s
-  JOIN (SELECT source, block_id, count(*) AS n FROM shingles GROUP BY ALL) USING (source, block_id) WHERE n >= {mh.MIN_SHINGLES}),
+  JOIN (SELECT source, block_id, count(*) AS n FROM shingles GROUP BY ALL) USING (source, block_id) WHERE n >= {min_shingles}),
 bands AS MATERIALIZED ({" UNION ALL ".join(_band(i) for i in range(mh.BANDS))})"""
 
 # --- vocabulary ---
@@ -145,7 +146,7 @@ rounds AS (
         (SELECT ord, key, bool_and(first) OVER (PARTITION BY ord) AS leads FROM
           (SELECT ord, key, ord = min(ord) OVER (PARTITION BY key) AS first FROM rounds WHERE open))))),
 flags AS MATERIALIZED (SELECT DISTINCT ord, kept_ord FROM rounds WHERE NOT open AND kept_ord < ord)"""
-_FLAGS = ("RECURSIVE " + _DEDUP_BASE[0], *_DEDUP_BASE[1:], _SIGNATURES, _BAND_ROWS, _GREEDY)
+_FLAGS = ("RECURSIVE " + _DEDUP_BASE[0], *_DEDUP_BASE[1:], _SIGNATURES, _band_rows(), _GREEDY)
 _ORD = f"({_RANK})::BIGINT * {2**40} + block_id"
 
 ORACLES = {
@@ -198,9 +199,9 @@ SELECT source, weight, count(DISTINCT shard_id) AS n_shards, max(copy) AS repeat
 FROM mix JOIN weights USING (source) GROUP BY source, weight""",
     "budget_report": _with(*_FEED, _SHARDS, _WEIGHTS)
     + f"""
-SELECT source, weight, {c.FEED.tokens_per_step}::BIGINT AS tokens_per_step, {c.FEED.total_steps}::BIGINT AS total_steps,
-  floor(weight * {c.FEED.total_tokens})::BIGINT AS needed_tokens, coalesce(have, 0)::BIGINT AS available_tokens,
-  coalesce(have, 0) >= floor(weight * {c.FEED.total_tokens}) AS enough
+SELECT source, weight, {c.STEP_TOKENS}::BIGINT AS tokens_per_step, {c.RUN_TOKENS // c.STEP_TOKENS}::BIGINT AS total_steps,
+  floor(weight * {c.RUN_TOKENS})::BIGINT AS needed_tokens, coalesce(have, 0)::BIGINT AS available_tokens,
+  coalesce(have, 0) >= floor(weight * {c.RUN_TOKENS}) AS enough
 FROM weights LEFT JOIN (SELECT source, sum(n_tokens) AS have FROM shards GROUP BY source) USING (source)""",
     "epoch_order": _with(*_FEED, _SHARDS, _MIX, _EPOCH)
     + f"SELECT {c.EPOCH} AS epoch, place, source, shard_id, copy, n_tokens, shard_start FROM epoch",
@@ -224,7 +225,7 @@ FROM batched SEMI JOIN full_batches USING (batch_id) GROUP BY ALL""",
     "shingle_counts": _with(*_DEDUP_BASE) + "SELECT source, block_id, count(*)::INTEGER AS n_shingles FROM shingles GROUP BY ALL",
     "minhash_signature": _with(*_DEDUP_BASE, _SIGNATURES)
     + f"SELECT source, block_id, concat_ws(',', {', '.join(f'm{i}' for i in range(mh.NUM_PERM))}) AS signature FROM sigs",
-    "lsh_bands": _with(*_DEDUP_BASE, _SIGNATURES, _BAND_ROWS)
+    "lsh_bands": _with(*_DEDUP_BASE, _SIGNATURES, _band_rows(c.MIN_SHINGLES))
     + "SELECT band, count(*) AS n_blocks, min(ord) AS first_ord FROM bands GROUP BY band, k HAVING count(*) > 1",
     "dedup_flags": _with(*_FLAGS) + "SELECT ord, kept_ord FROM flags",
     "dedup_report": _with(*_FLAGS)

@@ -7,6 +7,7 @@ the loss of executors; nothing here keeps state only in executor memory.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def scratch_root(spark: SparkSession) -> str:
         existing = sc._jsc.sc().getCheckpointDir()
         if existing.isDefined():
             return existing.get()
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="corpusmill-")
         sc.setCheckpointDir(root)

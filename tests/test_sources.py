@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.config import STAGE_A_WEIGHTS, STAGE_B_WEIGHTS, FeedConfig
+from corpusmill.config import STAGE_A_WEIGHTS, STAGE_B_WEIGHTS
 from corpusmill.operators import mix
 from corpusmill.operators.sampling import byte_budget_prefix
 from corpusmill.sources import registry
@@ -63,9 +63,10 @@ def test_repeats_and_shares(spark):
         mix.require_shards(mix.weighted_mix(shards, {"news": 1.0}))
 
 
-def test_feed_config():
-    config = FeedConfig.from_dict({"total_tokens": 2_000_000_000, "unknown": 1})
-    assert (config.tokens_per_step, config.total_steps) == (262_144, 7_629)
+def test_budget_report(spark):
+    shards = spark.createDataFrame([("web", 0, 700), ("web", 1, 700)], "source string, shard_id bigint, n_tokens bigint")
+    rows = mix.budget_report(shards, {"web": 0.6, "qa": 0.4}, 2_000, 300).orderBy("source").collect()
+    assert [tuple(r) for r in rows] == [("qa", 0.4, 300, 6, 800, 0, False), ("web", 0.6, 300, 6, 1_200, 1_400, True)]
 
 
 def test_shard_files_round_trip(spark, tmp_path):
