@@ -9,8 +9,10 @@ Documents are dealt to blocks of bounded size.  A block counts its own n-grams,
 so a frequent n-gram is one row per block, not one per place.  The count table
 is partitioned by the leading bits of the n-gram's hash; there each block's rows
 meet the sum over the other blocks.  Only n-grams that other blocks have too go
-back to the block, where scores are summed per document.  On the way n-grams
-of one block and bucket are one row with arrays, 6 bytes and a count each.
+back to the block, where scores are summed per document.  On the way there
+n-grams of one block and bucket are one row with arrays, 6 bytes and a count
+each; on the way back a place in that array and a count, as the block finds the
+same n-grams in the same order again.
 
 Defined cases: a null or empty text has no words and score 0; the first word has
 no context and costs no factor; a word that no other document has counts as
@@ -32,7 +34,7 @@ from corpusmill.session import materialize
 
 ORDER, BACKOFF, UNSEEN = 2, 0.4, 0.5
 #: text of a block; a longer document makes a larger one
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: fewest and most leading bits of a hash that name its bucket; 48 more bits tell n-grams apart
 LEAST_BITS, MOST_BITS = 10, 16
 
@@ -54,15 +56,22 @@ def ngram_keys(texts: list[str], order: int, bits: int) -> tuple[np.ndarray, lis
     return lengths, [k >> np.uint64(16 - bits) for k in keys], owners
 
 
+def _distinct(keys: list[np.ndarray], owners: list[np.ndarray]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """For each order the distinct hashes, which of them is at each place, and their counts; then the hashes of
+    all orders sorted, and where each comes from. The texts' order does not matter to what is sorted."""
+    found = [np.unique(k[o >= 0], return_inverse=True, return_counts=True) for k, o in zip(keys, owners)]
+    grams = np.concatenate([k for k, _, _ in found])
+    ordered = np.argsort(grams, kind="stable")
+    return found, grams[ordered], ordered
+
+
 def _count_block(order: int, bits: int):
     """Rows (block, bucket, mid, low, n): a block's n-grams by bucket, their hashes' lower 48 bits in two arrays."""
 
     def count(block: pd.DataFrame) -> pd.DataFrame:
         _, keys, owners = ngram_keys(block["text"].tolist(), order, bits)
-        found = [np.unique(k[o >= 0], return_counts=True) for k, o in zip(keys, owners)]
-        grams, n = np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found]).astype(np.int32)
-        ordered = np.argsort(grams, kind="stable")
-        grams, n = grams[ordered], n[ordered]
+        found, grams, ordered = _distinct(keys, owners)
+        n = np.concatenate([c for _, _, c in found]).astype(np.int32)[ordered]
         bucket = (grams >> np.uint64(48)).astype(np.int32)
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         mid = ((grams >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
@@ -77,38 +86,36 @@ def _count_block(order: int, bits: int):
     return count
 
 
-def _counts(keys: np.ndarray, owners: np.ndarray, other: np.ndarray, other_n: np.ndarray) -> np.ndarray:
+def _counts(owners: np.ndarray, where: np.ndarray, everywhere: np.ndarray) -> np.ndarray:
     """For each place its n-gram's count outside the place's own text; 0 where there is no n-gram."""
     real = owners >= 0
-    grams, where, block_n = np.unique(keys[real], return_inverse=True, return_counts=True)
     pair = where.astype(np.int64) * (int(owners.max(initial=0)) + 1) + owners[real]
     _, inverse, own = np.unique(pair, return_inverse=True, return_counts=True)
-    at = np.minimum(np.searchsorted(other, grams), max(0, len(other) - 1))
-    outside = np.where(other[at] == grams, other_n[at], 0) if len(other) else np.zeros(len(grams), np.int64)
-    out = np.zeros(len(keys), np.int64)
-    out[real] = (outside + block_n)[where] - own[inverse]
+    out = np.zeros(len(owners), np.int64)
+    out[real] = everywhere[where] - own[inverse]
     return out
 
 
-def _unpack(shared: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of packed rows, and the counts that go with them."""
+def _unpack(shared: pd.DataFrame, grams: np.ndarray) -> np.ndarray:
+    """Counts in other blocks of a block's sorted n-grams; 0 for those that did not come back."""
     none = np.zeros(0, np.int32)
-    sizes = np.fromiter(map(len, shared["low"]), np.int64, len(shared))
-    bucket = np.repeat(shared["bucket"].to_numpy(np.int64), sizes) << 48
-    mid = np.concatenate([none, *shared["mid"]]).astype(np.int64) & 0xFFFF
-    low = np.concatenate([none, *shared["low"]]).astype(np.int64) & 0xFFFFFFFF
-    grams = (bucket | mid << 32 | low).view(np.uint64)
-    ordered = np.argsort(grams)
-    others = np.concatenate([none, *shared["upper"]]).astype(np.int64) << 31 | np.concatenate([none, *shared["others"]])
-    return grams[ordered], others[ordered]
+    sizes = np.fromiter(map(len, shared["at"]), np.int64, len(shared))
+    first = np.searchsorted(grams, shared["bucket"].to_numpy(np.uint64) << np.uint64(48))
+    places = np.repeat(first, sizes) + np.concatenate([none, *shared["at"]])
+    others = np.zeros(len(grams), np.int64)
+    others[places] = np.concatenate([none, *shared["upper"]]).astype(np.int64) << 31 | np.concatenate([none, *shared["others"]])
+    return others
 
 
 def _score_block(order: int, bits: int):
     def score(block: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         lengths, keys, owners = ngram_keys(block["text"].tolist(), order, bits)
-        other, other_n = _unpack(shared)
+        found, grams, ordered = _distinct(keys, owners)
+        others = np.empty(len(grams), np.int64)
+        others[ordered] = _unpack(shared, grams)
+        others = np.split(others, np.cumsum([len(k) for k, _, _ in found])[:-1])
         words = len(keys[0])
-        counts = [_counts(k, o, other, other_n) for k, o in zip(keys, owners)]
+        counts = [_counts(o, where, n + out) for o, (_, where, n), out in zip(owners, found, others)]
         text_of = owners[0]
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(lengths) else np.zeros(0, np.int64)
         place = np.arange(words) - starts[text_of]  # of the word in its text
@@ -149,7 +156,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
     packed = dealt.groupBy("block").applyInPandas(
         _count_block(order, bits), "block int, bucket int, mid array<smallint>, low array<int>, n array<int>"
     )
-    table = packed.repartition("bucket").select("block", "bucket", F.inline(F.arrays_zip("mid", "low", "n")))
+    table = packed.repartition("bucket").select(
+        "block", "bucket", F.posexplode(F.arrays_zip("mid", "low", "n")).alias("at", "g")
+    ).select("block", "bucket", "at", "g.mid", "g.low", "g.n")
     # a row per block and n-gram: the group of one n-gram is at most the number of blocks
     everywhere = F.sum(F.col("n").cast("bigint")).over(Window.partitionBy("bucket", "mid", "low"))
     others = everywhere - F.col("n")
@@ -158,13 +167,12 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
         .where("others > 0")
         # at most a block's n-grams of one bucket; a count in two halves, the upper one of which is nearly always 0
         .select("block", "bucket", F.struct(
-            "mid", "low", F.col("others").bitwiseAND(F.lit(2**31 - 1)).cast("int").alias("others"),
+            "at", F.col("others").bitwiseAND(F.lit(2**31 - 1)).cast("int").alias("others"),
             F.shiftright("others", 31).cast("int").alias("upper"),
         ).alias("g"))
         .groupBy("block", "bucket")
         .agg(F.collect_list("g").alias("g"))
-        .select("block", "bucket", F.col("g.mid").alias("mid"), F.col("g.low").alias("low"), F.col("g.others").alias("others"),
-                F.col("g.upper").alias("upper"))
+        .select("block", "bucket", F.col("g.at").alias("at"), F.col("g.others").alias("others"), F.col("g.upper").alias("upper"))
     )
     # one plan for both, so the exchange of texts is written once
     scored = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(
