@@ -31,8 +31,8 @@ from corpusmill.session import materialize
 
 #: characters of a chunk, and those it shares with the next one
 CHUNK_CHARS, OVERLAP_CHARS = 16_384, 512
-#: characters encoded before a worker builds its next array
-ENCODE_CHARS = 1 << 22
+#: without nulls, so that no plan adds a null filter and all read one exchange of chunks
+CHUNKS = "_row bigint not null, chunk bigint not null, last bigint not null, part string not null"
 _LOADED: dict[str, tuple] = {}
 
 
@@ -138,20 +138,24 @@ def _pretokenise(chunk: int, overlap: int):
 def stitch(chunks: DataFrame, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
     """Rows (_row, span, text) from rows (_row, chunk, last, part): spans between common boundaries."""
     spread = chunks.repartition("_row", "chunk")
-    found = spread.withColumn("found", _pretokenise(chunk, overlap)("chunk", "part"))
+    found = spread.select("_row", "chunk", "last", _pretokenise(chunk, overlap)("chunk", "part").alias("found"))
     order = Window.partitionBy("_row").orderBy("chunk")
     met = F.array_min(F.array_intersect("found.tail", F.lead("found.head").over(order)))
     met = found.withColumn("_met", F.when(F.col("chunk") < F.col("last"), met))
     # from the first gap on nothing is proven, the rest of that text is one span
     gap = F.min(F.when((F.col("chunk") < F.col("last")) & F.col("_met").isNull(), F.col("chunk"))).over(Window.partitionBy("_row"))
     met = met.withColumn("_gap", F.coalesce(gap, F.col("last"))).withColumn("_before", F.lag("_met").over(order))
+    # only boundaries meet in the windows; chunks wait where they are, in the same exchange
+    cut = spread.join(met.select("_row", "chunk", "_met", "_gap", "_before"), ["_row", "chunk"])
     base = F.col("chunk") * chunk
     first = F.when(F.col("chunk") <= F.col("_gap"), F.coalesce("_before", base)).otherwise(base)
     until = F.when(F.col("chunk") < F.col("_gap"), F.col("_met")).when(F.col("chunk") < F.col("last"), base + chunk)
     piece = F.substr(F.col("part"), (first - base + 1).cast("int"), (F.coalesce(until, base + chunk + overlap) - first).cast("int"))
-    pieces = met.select("_row", F.least("chunk", "_gap").alias("span"), "chunk", piece.alias("piece"))
-    ordered = F.array_sort(F.collect_list(F.struct("chunk", "piece")))
-    return pieces.groupBy("_row", "span").agg(F.array_join(ordered["piece"], "").alias("text"))
+    alone = (F.col("chunk") < F.col("_gap")) | (F.col("_gap") == F.col("last"))
+    pieces = cut.select("_row", F.least("chunk", "_gap").alias("span"), "chunk", piece.alias("text"), alone.alias("alone"))
+    ordered = F.array_sort(F.collect_list(F.struct("chunk", "text")))
+    rest = pieces.where(~F.col("alone")).groupBy("_row", "span").agg(F.array_join(ordered["text"], "").alias("text"))
+    return pieces.where("alone").select("_row", "span", "text").unionByName(rest)
 
 
 def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
@@ -163,8 +167,8 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK_CHARS, o
     short = texts.where(F.length("text") <= chunk).select("doc_id", ids_of("text").alias("ids"))
     # written once, so that row numbers hold if a task is run again
     long = materialize(texts.where(F.length("text") > chunk).withColumn("_row", F.monotonically_increasing_id()), "long-texts")
-    chunks = long.select("_row", "text").mapInPandas(_cut_chunks(chunk, overlap), "_row bigint, chunk bigint, last bigint, part string")
-    spans = stitch(chunks, chunk, overlap).repartition("_row", "span").select("_row", "span", ids_of("text").alias("ids"))
+    chunks = long.select("_row", "text").mapInPandas(_cut_chunks(chunk, overlap), CHUNKS)
+    spans = stitch(chunks, chunk, overlap).select("_row", "span", ids_of("text").alias("ids"))
     joined = spans.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("span", "ids"))).alias("spans"))
     whole_ids = joined.select("_row", F.flatten(F.col("spans.ids")).alias("ids"))
     return short.unionByName(long.select("_row", "doc_id").join(whole_ids, "_row").select("doc_id", "ids"))
