@@ -1,13 +1,16 @@
 """Operator 2, license scans: an exact set-similarity join of text blocks and license templates.
 
-A block is a line.  It matches a template when it holds at least the threshold
-share of the template's distinct words (containment).  Template words are ranked
-by their frequency over all documents, rarest first.  With |T| words and an
-overlap of at least o = ceil(threshold * |T|), one of the template's first
-|T| - o + 1 words must be in the block; only lines with such a word become
-candidates.  A line with fewer than o words is dropped (length filter), as is a
-candidate whose words from the matched one on, in either order of rank, cannot
-reach o (positional filter).  What remains is counted exactly.
+A block is a line, or a window of as many consecutive words as the template has,
+at every word of the text and across line ends, so a hard-wrapped notice is one
+block.  It matches a template when it holds at least the threshold share of the
+template's distinct words (containment).  Template words are ranked by their
+frequency over all documents, rarest first.  With |T| words and an overlap of at
+least o = ceil(threshold * |T|), one of the template's first |T| - o + 1 words
+must be in the block; only documents with such a word are cut into blocks, and
+only blocks with one become candidates.  A block with fewer than o words is
+dropped (length filter), as is a candidate whose words from the matched one on,
+in either order of rank, cannot reach o (positional filter).  What remains is
+counted exactly.
 
 Base places, phrases found word by word, are counted beside the join.
 
@@ -51,18 +54,14 @@ TEMPLATES = (
 )
 
 
-def template_words(templates=TEMPLATES) -> list[tuple[int, str, list[str]]]:
-    """(number, label, distinct words); the words of a text are those of NON_WORD on ASCII notices."""
-    out = []
-    for number, (label, text) in enumerate(templates):
-        words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
-        out.append((number, label, sorted(set(words))))
-    return out
+def notice_words(text: str) -> list[str]:
+    """The words of a notice in order; those of NON_WORD on ASCII notices."""
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
-def line_words(lower_text: Column) -> Column:
-    """Array of the lines' word arrays."""
-    return F.transform(F.split(lower_text, "\n"), lambda line: split_words(line, NON_WORD))
+def template_words(templates=TEMPLATES) -> list[tuple[int, str, list[str]]]:
+    """(number, label, distinct words)."""
+    return [(number, label, sorted(set(notice_words(text)))) for number, (label, text) in enumerate(templates)]
 
 
 def word_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -74,8 +73,8 @@ def word_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 def prefix_table(
     spark: SparkSession, frequencies: dict[str, int], threshold: float = THRESHOLD, templates=TEMPLATES
-) -> tuple[DataFrame, list[str]]:
-    """Rows (word, template, label, at, need, words) of the necessary prefixes, and all words by rank."""
+) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows (word, template, label, at, need, span, words) of the necessary prefixes, their words, and all words by rank."""
     known = template_words(templates)
     order = sorted({w for _, _, words in known for w in words}, key=lambda w: (frequencies.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
@@ -83,33 +82,54 @@ def prefix_table(
     for number, label, words in known:
         words = sorted(words, key=rank.__getitem__)
         need = math.ceil(threshold * len(words) - 1e-9)
-        rows += [(word, number, label, at, need, words) for at, word in enumerate(words[: len(words) - need + 1])]
-    schema = "word string, template int, label string, at int, need int, words array<string>"
-    return spark.createDataFrame(rows, schema), order
-
-
-def match_lines(docs: DataFrame, prefixes: DataFrame, order: list[str]) -> DataFrame:
-    """Rows (doc_id, text_md5, line, template, label, containment) of every line that meets the threshold."""
-    lines = docs.select(*row_key(), F.posexplode(F.split(ascii_lower(whole(F.col("text"))), "\n")).alias("line", "_text"))
-    starts = [row["word"] for row in prefixes.select("word").distinct().collect()]
-    lines = lines.select("doc_id", "text_md5", "line", split_words(F.col("_text"), NON_WORD).alias("w"))
-    # prefix words of a line: none of them, no candidate
-    met = lines.select("*", F.explode("w").alias("word")).where(F.col("word").isin(starts))
-    ranked = F.array(*[F.lit(w) for w in order])
-    candidates = met.join(F.broadcast(prefixes), "word").where(F.size("w") >= F.col("need"))
-    # the line's template words from the matched one on, by rank, bound the overlap
-    have = F.array_intersect(ranked, "w")
-    candidates = candidates.withColumn("have", have).withColumn(
+        span = len(notice_words(templates[number][1]))
+        rows += [(word, number, label, at, need, span, words) for at, word in enumerate(words[: len(words) - need + 1])]
+    schema = "word string, template int, label string, at int, need int, span int, words array<string>"
+    return spark.createDataFrame(rows, schema), sorted({row[0] for row in rows}), order
+
+
+def _candidates(met: DataFrame, prefixes: DataFrame, order: list[str], block: Column) -> DataFrame:
+    """Rows (word, ...) of places with a prefix word, by template, whose block passes the filters.
+
+    ``block`` is the words around the place; no part of it that holds the word can pass where it does not.
+    """
+    found = met.join(F.broadcast(prefixes), "word").withColumn("block", block).where(F.size("block") >= F.col("need"))
+    # the block's template words from the matched one on, by rank, bound the overlap
+    found = found.withColumn("have", F.array_intersect(F.array(*[F.lit(w) for w in order]), "block")).withColumn(
         "j", F.array_position("have", F.col("word")).cast("int") - 1
     ).where(
         F.least(F.size("words") - F.col("at"), F.size("have") - F.col("j")) + F.least("at", "j") >= F.col("need")
     )
-    overlap = F.size(F.array_intersect("words", "have"))
-    return (
-        candidates.where(overlap >= F.col("need"))
-        .select("doc_id", "text_md5", "line", "template", "label", (overlap / F.size("words")).alias("containment"))
-        .distinct()
+    return found.withColumn("overlap", F.size(F.array_intersect("words", "have"))).where(F.col("overlap") >= F.col("need"))
+
+
+def match_blocks(docs: DataFrame, prefixes: DataFrame, starts: list[str], order: list[str]) -> DataFrame:
+    """Rows (doc_id, text_md5, template, label, containment) of the blocks that meet the threshold."""
+    texts = docs.select(*row_key(), ascii_lower(whole(F.col("text"))).alias("_text"))
+    texts = texts.select("*", split_words(F.col("_text"), NON_WORD).alias("w"))
+    # prefix words of a text: none of them, no candidate
+    starting = F.array(*[F.lit(w) for w in starts])
+    texts = texts.where(F.arrays_overlap("w", starting))
+
+    lines = texts.select("doc_id", "text_md5", F.explode(F.split("_text", "\n")).alias("_line"))
+    lines = lines.select("doc_id", "text_md5", split_words(F.col("_line"), NON_WORD).alias("w"))
+    lines = lines.select("*", F.explode(F.array_intersect(starting, "w")).alias("word"))
+    of_lines = _candidates(lines, prefixes, order, F.col("w"))
+
+    # all windows that hold the word at a place, within the words less than a window away
+    places = texts.select("doc_id", "text_md5", "w", F.posexplode("w").alias("p", "word")).where(F.col("word").isin(starts))
+    before = F.least(F.col("p"), F.col("span") - 1)
+    around = F.slice("w", F.col("p") - before + 1, before + F.col("span"))
+    near = _candidates(places, prefixes, order, around)
+    # windows start up to the place, the last one where the text ends
+    last = F.greatest(F.lit(0), F.least(before, F.size("block") - F.col("span")))
+    in_window = F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.size(F.array_intersect("words", F.slice("block", i + 1, F.col("span"))))
     )
+    of_windows = near.withColumn("overlap", F.array_max(in_window)).where(F.col("overlap") >= F.col("need"))
+
+    keep = ["doc_id", "text_md5", "template", "label", (F.col("overlap") / F.size("words")).alias("containment")]
+    return of_lines.select(*keep).unionByName(of_windows.select(*keep)).distinct()
 
 
 def phrase_starts(words: Column, phrases=BASE_PHRASES) -> Column:
@@ -153,8 +173,8 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: counts and labels of the phrases, labels and best containment of the join."""
     docs = docs.select("doc_id", "text")
     vocabulary = sorted({w for _, _, words in template_words() for w in words})
-    prefixes, order = prefix_table(docs.sparkSession, word_frequencies(docs, vocabulary), threshold)
-    matched = match_lines(docs, prefixes, order).groupBy("doc_id", "text_md5").agg(
+    prefixes, starts, order = prefix_table(docs.sparkSession, word_frequencies(docs, vocabulary), threshold)
+    matched = match_blocks(docs, prefixes, starts, order).groupBy("doc_id", "text_md5").agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("best")
     )
     matched = cut_lineage(matched)

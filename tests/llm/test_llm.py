@@ -69,6 +69,31 @@ def test_licenses(spark, docs, empty):
     assert (got[3]["n_base"], got[3]["first_word"], got[3]["labels"], got[3]["score"]) == (0, None, "", 0.0)
 
 
+def test_wrapped_license_notices(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are\nmet:"
+    mit = "# Permission is hereby granted, free of charge, to any\n# person obtaining a copy of this software\n# and associated documentation files"
+    texts = [
+        bsd, mit, "One two.\n" * 50 + mit + "\nmore", "Licensed\nunder\nthe Apache\nLicense,\nVersion 2.0",
+        "Redistribution and use\n" + "other words here " * 20 + "\nin source and binary forms, with or without modification",
+        "released\nunder one of the hills,\nfar from the licence",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = licenses.license_scan(frame).collect()
+    got = by_id(rows)
+    assert len(rows) == len(texts)
+    assert [got[i]["labels"] for i in range(len(texts))] == ["bsd", "mit", "mit", "apache-2", "", ""]
+    assert [got[i]["score"] for i in range(len(texts))] == [1.0, 1.0, 1.0, 1.0, 0.0, 0.0]
+    # every line and every window, counted one by one
+    for doc_id, text in enumerate(texts):
+        words, best = licenses.notice_words(text), 0.0
+        for number, _, known in licenses.template_words():
+            span = len(licenses.notice_words(licenses.TEMPLATES[number][1]))
+            blocks = [licenses.notice_words(line) for line in text.split("\n")]
+            blocks += [words[i : i + span] for i in range(max(1, len(words) - span + 1))]
+            best = max([best, *(len({*known} & {*b}) / len(known) for b in blocks)])
+        assert got[doc_id]["score"] == (best if best >= licenses.THRESHOLD else 0.0)
+
+
 def _components(rows, width, percent):
     sets = []
     for _, text in rows:
