@@ -35,7 +35,7 @@ EVAL_PER_MILLE = 100
 EVAL_SHARD_TOKENS = 20_000
 EVAL_BATCHES = 30
 COVERAGE = 0.9999
-N_MERGES = 150
+VOCAB_SIZE = 2000  # the reference trains 32,000 pieces
 EPOCH, SEED = 1, 7
 SEQ_LEN, MICRO_BATCH = 128, 4
 SMOOTHING = 0.5
@@ -270,8 +270,7 @@ def pair_counts(spark, sf_dir):
 
 
 def _vocabulary(spark, sf_dir) -> DataFrame:
-    chars = _covered(spark, sf_dir)
-    return vocab.assemble_vocab(spark, vocab.train_bpe(word_counts(spark, sf_dir), chars, N_MERGES), chars)
+    return vocab.train_vocab(spread(_docs(spark, sf_dir), "doc_id"), VOCAB_SIZE, COVERAGE)
 
 
 def train_bpe(spark, sf_dir):

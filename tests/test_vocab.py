@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.bpe import bpe_decoder, bpe_encoder, byte_decode, merge_segment
 from corpusmill.functions.text import USER_SYMBOLS, byte_tokens
 from corpusmill.operators import vocab
+from corpusmill.plans import catalog
 from corpusmill.plans.corpus import encode_table, encoded_blocks
 from corpusmill.sources.vocab_io import read_vocab, write_vocab
 
@@ -83,6 +84,15 @@ def test_vocab_too_small(docs):
         vocab.train_vocab(docs, 262 + 5)
 
 
+def test_queries_train_a_vocabulary_of_their_size(spark, docs, tmp_path, monkeypatch):
+    assert catalog.VOCAB_SIZE >= 2000
+    monkeypatch.setattr(catalog, "VOCAB_SIZE", 262 + 100)
+    rows = docs.select("doc_id", "text", F.lit("en").alias("lang"))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    kinds = {r["kind"]: r["count"] for r in catalog.vocab_table(spark, str(tmp_path)).groupBy("kind").count().collect()}
+    assert sum(kinds.values()) == 262 + 100
+
+
 def test_vocab_file(spark, table, tmp_path):
     write_vocab(table, str(tmp_path / "v"))
     assert sorted(map(tuple, read_vocab(spark, str(tmp_path / "v")).collect())) == sorted(map(tuple, table.collect()))
