@@ -52,7 +52,8 @@ def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
         with np.errstate(over="ignore"):
             rolled = words.copy()
             for k in range(1, width):
-                rolled[: len(words) - k] = mix(rolled[: len(words) - k] * np.uint64(0x9FB21C651E98DF25) + words[k:])
+                left = max(0, len(words) - k)
+                rolled[:left] = mix(rolled[:left] * np.uint64(0x9FB21C651E98DF25) + words[k:])
             at = 0
             for n in lengths:
                 if n >= width:

@@ -94,6 +94,13 @@ def test_wrapped_license_notices(spark):
         assert got[doc_id]["score"] == (best if best >= licenses.THRESHOLD else 0.0)
 
 
+@pytest.mark.parametrize("text", ["a b", "a b c", "a b c d"])
+def test_lone_short_text_has_one_wide_shingle(text):
+    long = " ".join(f"w{i}" for i in range(20))
+    (alone,) = ngram_jaccard.shingle_sets([text], 5)
+    assert len(alone) == 1 and list(alone) == list(list(ngram_jaccard.shingle_sets([long, text], 5))[1])
+
+
 def _components(rows, width, percent):
     sets = []
     for _, text in rows:
