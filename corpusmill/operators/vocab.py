@@ -65,6 +65,14 @@ def char_coverage(counts: DataFrame, coverage: float) -> DataFrame:
     )
 
 
+def covered_chars(docs: DataFrame, coverage: float, limit: int) -> list[str]:
+    """The characters to cover by rank; more than ``limit`` of them are an error, never cut."""
+    rows = char_coverage(char_counts(docs), coverage).orderBy("rank").select("ch").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} characters to cover")
+    return [row["ch"] for row in rows]
+
+
 def covered_words(words: DataFrame, chars: list[str]) -> DataFrame:
     """Words cut at uncovered characters, as wrapped symbols with counts.
 
@@ -219,9 +227,6 @@ def assemble_vocab(spark: SparkSession, merged: list[str], chars: list[str]) ->
 def train_vocab(docs: DataFrame, vocab_size: int, coverage: float = 0.9999) -> DataFrame:
     """Train a vocabulary of ``vocab_size`` pieces on sampled documents."""
     limit = vocab_size - FIRST_MERGE_ID
-    covered = char_coverage(char_counts(docs), coverage).orderBy("rank").select("ch").limit(limit + 1).collect()
-    if len(covered) > limit:
-        raise ValueError(f"vocab_size {vocab_size} is too small for the characters to cover")
-    chars = [row["ch"] for row in covered if row["ch"] not in (OPEN, CLOSE)]
+    chars = [ch for ch in covered_chars(docs, coverage, limit) if ch not in (OPEN, CLOSE)]
     merged = train_bpe(word_counts(docs), chars, limit - len(chars))
     return assemble_vocab(docs.sparkSession, merged, chars)

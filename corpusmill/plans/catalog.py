@@ -259,14 +259,9 @@ def char_coverage(spark, sf_dir):
     return vocab.char_coverage(vocab.char_counts(spread(_docs(spark, sf_dir), "doc_id")), COVERAGE)
 
 
-def _covered(spark, sf_dir) -> list[str]:
-    rows = char_coverage(spark, sf_dir).orderBy("rank").select("ch").limit(vocab.MAX_TOKEN_ID).collect()
-    return [row["ch"] for row in rows]
-
-
 def pair_counts(spark, sf_dir):
-    words = vocab.covered_words(word_counts(spark, sf_dir), _covered(spark, sf_dir))
-    return vocab.pair_counts(words)
+    chars = vocab.covered_chars(spread(_docs(spark, sf_dir), "doc_id"), COVERAGE, vocab.MAX_TOKEN_ID)
+    return vocab.pair_counts(vocab.covered_words(word_counts(spark, sf_dir), chars))
 
 
 def _vocabulary(spark, sf_dir) -> DataFrame:

@@ -93,6 +93,14 @@ def test_queries_train_a_vocabulary_of_their_size(spark, docs, tmp_path, monkeyp
     assert sum(kinds.values()) == 262 + 100
 
 
+def test_pair_counts_never_cuts_characters(spark, docs, tmp_path, monkeypatch):
+    rows = docs.select("doc_id", "text", F.lit("en").alias("lang"))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(vocab, "MAX_TOKEN_ID", 5)
+    with pytest.raises(ValueError):
+        catalog.pair_counts(spark, str(tmp_path))
+
+
 def test_vocab_file(spark, table, tmp_path):
     write_vocab(table, str(tmp_path / "v"))
     assert sorted(map(tuple, read_vocab(spark, str(tmp_path / "v")).collect())) == sorted(map(tuple, table.collect()))
