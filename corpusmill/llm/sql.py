@@ -7,6 +7,7 @@ from corpusmill.llm.licenses import BASE_PHRASES, THRESHOLD, template_words
 #: ASCII lower case only, as the contract has it
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _SPACED = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 OP1 = rf"""
@@ -69,4 +70,20 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_license_scans": _op2(), "op8_decontamination": OP8}
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(_LOWER)} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, {_TERMS.format(_LOWER)} AS w FROM benchmark),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS nd, sum(len(w)) AS nl FROM d),
+qt AS (SELECT q, t, count(*) AS k FROM (SELECT q, unnest(w) AS t FROM b) GROUP BY q, t),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM qt) GROUP BY r, t),
+wt AS (SELECT t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+       FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), c),
+m AS (SELECT r, doc_id, 25 + ((75 * len(w)::HUGEINT * nd) // nl)::BIGINT AS m FROM d, c WHERE len(w) > 0),
+g AS (SELECT r, t, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS g FROM tf JOIN wt USING (t) JOIN m USING (r)),
+s AS (SELECT q, r, sum(k * g)::BIGINT AS score FROM qt JOIN g USING (t) GROUP BY q, r),
+o AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank
+      FROM s JOIN m USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o JOIN b USING (q) WHERE rank <= 10
+"""
+
+ORACLES = {"op1_quality_rules": OP1, "op2_license_scans": _op2(), "op8_decontamination": OP8, "op13_lexical_search": OP13}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -119,3 +119,17 @@ def in_pieces(texts: list[bytes]):
             first, size = i + 1, 0
     if first < len(texts):
         yield first, len(texts)
+
+
+def cut_pieces(raw: bytes, size: int = HASH_BYTES) -> Iterator[bytes]:
+    """A text whose words stand between plain spaces, in pieces of about ``size`` bytes that cut no word."""
+    at = 0
+    while len(raw) - at > size:
+        end = raw.rfind(b" ", at, at + size)
+        if end <= at:
+            end = raw.find(b" ", at + size)
+        if end < 0:
+            break
+        yield raw[at:end]
+        at = end + 1
+    yield raw[at:] if at else raw
