@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Container
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,11 +18,14 @@ from corpusmill.functions.text import (
     USER_SYMBOLS,
     marked,
 )
+from corpusmill.operators.bpe_rounds import MASK, SHIFT, all_pairs, changes, chunks_of, make_chunks, merge_round
 from corpusmill.session import cut_lineage, spread
 
-OPEN, CLOSE = "\x01", "\x02"  # around every symbol of a word while it is merged
-#: most frequent pairs fetched per round
-TOP_PAIRS = 1024
+OPEN, CLOSE = "\x01", "\x02"  # around every symbol of a word in `covered_words`
+#: most frequent pairs fetched at a time
+TOP_PAIRS = 1 << 16
+#: pairs looked at for one round
+BATCH_PAIRS = 1024
 #: rounds between checkpoints of the word table
 CHECKPOINT_ROUNDS = 16
 
@@ -73,19 +78,19 @@ def covered_chars(docs: DataFrame, coverage: float, limit: int) -> list[str]:
     return [row["ch"] for row in rows]
 
 
+def covered_runs(words: DataFrame, chars: list[str]) -> DataFrame:
+    """Words cut at uncovered characters, as rows (run, n)."""
+    members = "".join(rf"\x{{{ord(ch):x}}}" for ch in chars if ch not in (OPEN, CLOSE))
+    runs = F.regexp_extract_all("word", F.lit(f"[{members}]+"), F.lit(0))
+    return words.select(F.explode(runs).alias("run"), "n").groupBy("run").agg(F.sum("n").alias("n"))
+
+
 def covered_words(words: DataFrame, chars: list[str]) -> DataFrame:
     """Words cut at uncovered characters, as wrapped symbols with counts.
 
     The two characters used for wrapping always fall back to bytes.
     """
-    members = "".join(rf"\x{{{ord(ch):x}}}" for ch in chars if ch not in (OPEN, CLOSE))
-    runs = F.regexp_extract_all("word", F.lit(f"[{members}]+"), F.lit(0))
-    return (
-        words.select(F.explode(runs).alias("run"), "n")
-        .groupBy("run")
-        .agg(F.sum("n").alias("n"))
-        .select(F.regexp_replace("run", "(?s).", f"{OPEN}$0{CLOSE}").alias("symbols"), "n")
-    )
+    return covered_runs(words, chars).select(F.regexp_replace("run", "(?s).", f"{OPEN}$0{CLOSE}").alias("symbols"), "n")
 
 
 def _inner_pairs(words: DataFrame) -> DataFrame:
@@ -124,7 +129,7 @@ class Pair:
         return self.left + self.right
 
 
-def safe_batch(top: list[Pair], known: set[str], truncated: bool) -> list[Pair]:
+def safe_batch(top: list[Pair], known: Container[str], truncated: bool) -> list[Pair]:
     """The leading pairs that can be merged at once with the one-by-one result.
 
     Merging (A, B) changes the counts of pairs that end in A or start with B
@@ -166,49 +171,112 @@ def safe_batch(top: list[Pair], known: set[str], truncated: bool) -> list[Pair]:
     return accepted
 
 
-def merge_pair(symbols: Column, pair: Pair) -> Column:
-    """Join every occurrence of the pair, left to right, in wrapped words."""
-    apart = f"{OPEN}{pair.left}{CLOSE}{OPEN}{pair.right}{CLOSE}"
-    return F.replace(symbols, F.lit(apart), F.lit(f"{OPEN}{pair.piece}{CLOSE}"))
+class PairTable:
+    """The most frequent pairs on the driver, exact: at most ``limit`` are fetched, new ones are added.
+
+    A pair that is not here occurs at most ``bound`` times, so the order of all
+    pairs above the bound is known.  Counts of pairs of old symbols only fall;
+    where a merge makes a symbol that exists already, the bound rises instead.
+    """
+
+    def __init__(self, pieces: list[str], limit: int = TOP_PAIRS):
+        self.pieces, self.limit, self.bound = pieces, limit, 0
+        self.counts: dict[int, int] = {}
+
+    def fetch(self, pairs: DataFrame) -> None:
+        rows = pairs.orderBy(F.desc("n")).limit(self.limit + 1).toArrow()
+        found = dict(zip(rows["pair"].to_pylist(), rows["n"].to_pylist()))
+        self.bound = min(found.values()) if len(found) > self.limit else 0
+        self.counts = {code: n for code, n in found.items() if n > self.bound}
+
+    def pair(self, code: int) -> Pair:
+        return Pair(self.pieces[code >> SHIFT], self.pieces[code & MASK], self.counts[code])
+
+    def top(self, least: int) -> list[Pair]:
+        """At least so many of the most frequent pairs, if there are, with all pairs of equal count, in order."""
+        codes = np.fromiter(self.counts, np.int64, len(self.counts))
+        n = np.fromiter(self.counts.values(), np.int64, len(self.counts))
+        lowest = max(self.bound + 1, int(np.partition(n, -least)[-least]) if len(n) > least else 1)
+        chosen = [self.pair(int(code)) for code in codes[n >= lowest]]
+        return sorted(chosen, key=lambda p: (-p.n, p.piece, p.left))
+
+    def watched(self, batch: list[tuple[int, int, int]]) -> np.ndarray:
+        """Pairs here whose counts a merge may change, sorted."""
+        codes = np.sort(np.fromiter(self.counts, np.int64, len(self.counts)))
+        lefts, rights = {left for left, _, _ in batch}, {right for _, right, _ in batch}
+        near = np.isin(codes & MASK, list(lefts | rights)) | np.isin(codes >> SHIFT, list(lefts | rights))
+        return codes[near]
+
+    def update(self, rows, fresh: set[int]) -> None:
+        """Enter changes; ``fresh`` are the symbols that did not exist before."""
+        rise = 0
+        for code, n in zip(rows["pair"].to_pylist(), rows["n"].to_pylist()):
+            if code in self.counts:
+                self.counts[code] += n
+                if self.counts[code] <= 0:
+                    del self.counts[code]
+            elif not self.bound or code >> SHIFT in fresh or code & MASK in fresh:
+                if n > self.bound:
+                    self.counts[code] = n
+            else:
+                rise = max(rise, n)
+        self.bound += rise
+
+    def spent(self) -> bool:
+        return bool(self.bound) and max(self.counts.values(), default=0) <= self.bound
 
 
 def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: bool = False) -> list[str]:
     """The first ``n_merges`` merged pieces, in merge order.
 
-    ``words`` are counted segments (word, n).  The word table stays distributed;
-    the driver holds the pieces (at most 65,536) and the top of the pair table.
-    A round reads the words of the round before from the cache, and what is
-    lost of it is rebuilt from the last checkpoint.
+    ``words`` are counted segments (word, n).  The words stay distributed as
+    chunks; a round changes the words that hold a merged pair and sums up what
+    this changes in the pair counts.  The driver holds the pieces and a table of
+    the most frequent pairs, at most ``TOP_PAIRS`` and the pairs of pieces made since.
+    A round reads the chunks of the round before from the cache, and what is
+    lost of them is rebuilt from the last checkpoint.
     """
-    # adaptive coalescing would leave a small table on one core for every round
-    table = cut_lineage(spread(cut_lineage(covered_words(words, chars)), "symbols"))
-    known = set(chars)
+    chars = [ch for ch in dict.fromkeys(chars) if ch not in (OPEN, CLOSE)]
+    pieces = ["", *chars]
+    numbers = {piece: i for i, piece in enumerate(pieces)}
+    runs = spread(cut_lineage(covered_runs(words, chars)), "run") if chars else None
+    if runs is None:
+        return []
+    state = cut_lineage(make_chunks(runs, numbers))
+    table = PairTable(pieces)
+    table.fetch(all_pairs(state))
     merged: list[str] = []
-    rounds = 0
     older: DataFrame | None = None
+    rounds = 0
     while len(merged) < n_merges:
-        top = [Pair(r["left"], r["right"], r["n"]) for r in best_pairs(pair_counts(table), TOP_PAIRS).collect()]
-        if older is not None:
-            older.unpersist()
+        if table.spent():
+            table.fetch(all_pairs(state))
+        top = table.top(1 if one_by_one else BATCH_PAIRS)
         if not top:
             break
-        batch = top[:1] if one_by_one else safe_batch(top, known, len(top) == TOP_PAIRS)
-        symbols = F.col("symbols")
+        batch = top[:1] if one_by_one else safe_batch(top, numbers, False)
+        todo, fresh = [], set()
         for pair in batch:
-            symbols = merge_pair(symbols, pair)
-            if pair.piece not in known:
-                known.add(pair.piece)
+            if pair.piece not in numbers:
+                if len(pieces) > MASK:
+                    raise ValueError(f"at most {MASK} different symbols")
+                fresh.add(len(pieces))
+                numbers[pair.piece] = len(pieces)
+                pieces.append(pair.piece)
                 merged.append(pair.piece)
-        older, table = table, table.withColumn("symbols", symbols).persist()
+            todo.append((numbers[pair.left], numbers[pair.right], numbers[pair.piece]))
+        after = merge_round(state, todo, table.watched(todo)).persist()
+        table.update(changes(after).where((F.col("n") < 0) | (F.col("n") > table.bound) | F.lit(not fresh)).toArrow(), fresh)
+        if older is not None:
+            older.unpersist()
+        older, state = after, after
         rounds += 1
         if rounds % CHECKPOINT_ROUNDS == 0:
-            rewritten = cut_lineage(table)
-            older.unpersist()
-            table.unpersist()
-            older, table = None, rewritten
+            state = cut_lineage(chunks_of(after))
+            after.unpersist()
+            older = None
     if older is not None:
         older.unpersist()
-    table.unpersist()
     return merged[:n_merges]
 
 

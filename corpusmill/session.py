@@ -77,3 +77,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores, key)
     return df
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that a newer one replaces; only inside the scratch folder."""
+    if not path.startswith(scratch_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not a scratch table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,10 +1,13 @@
+import json
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.config import STAGE_A_WEIGHTS, STAGE_B_WEIGHTS
 from corpusmill.operators import mix
 from corpusmill.operators.sampling import byte_budget_prefix
-from corpusmill.sources import registry
+from corpusmill.sources import registry, token_shards
 from corpusmill.sources.token_shards import list_shards, read_token_shards, write_token_shards
 
 BLOCK = "source string, split string, shard_id bigint, block_in_shard bigint, tokens array<int>"
@@ -89,13 +92,49 @@ def test_shard_files_round_trip(spark, tmp_path):
 
 
 def test_shard_files_reject_bad_input(spark, tmp_path):
-    with pytest.raises(Exception, match="outside 0..65535"):
-        write_token_shards(spark.createDataFrame([("web", "train", 0, 0, [65536])], BLOCK), str(tmp_path / "a"))
-    assert not list((tmp_path / "a").rglob("*shard*"))
     odd = tmp_path / "b/web/train"
     odd.mkdir(parents=True)
     (odd / "shard_00000.bin").write_bytes(b"abc")
     with pytest.raises(Exception, match="odd number"):
-        read_token_shards(spark, str(tmp_path / "b"), 2).count()
+        read_token_shards(spark, str(tmp_path / "b"), 2, committed=False).count()
     with pytest.raises(Exception, match="no .bin shards"):
-        read_token_shards(spark, str(tmp_path / "b"), 2, split="eval").count()
+        read_token_shards(spark, str(tmp_path / "b"), 2, split="eval", committed=False).count()
+
+
+def test_failed_write_leaves_nothing_to_read(spark, tmp_path):
+    path = tmp_path / "a"
+    blocks = spark.createDataFrame([("web", "train", i, 0, [i, 65536 if i == 7 else 1]) for i in range(9)], BLOCK)
+    with pytest.raises(Exception, match="token id outside"):
+        write_token_shards(blocks, str(path))
+    assert not [p for p in path.rglob("*") if p.is_file()]
+    for read in (lambda: read_token_shards(spark, str(path), 2).count(), lambda: list_shards(spark, str(path))):
+        with pytest.raises(Exception, match="_COMMITTED"):
+            read()
+    write_token_shards(blocks.where("shard_id <> 7"), str(path))  # the folder holds nothing, so it may be used
+    assert read_token_shards(spark, str(path), 2).count() == 8
+    assert json.loads((path / "_COMMITTED").read_text()) == {"n_shards": 8, "n_tokens": 16}
+    assert not (path / "_staged").exists()
+
+
+def test_unfinished_write_is_not_read(spark, tmp_path):
+    """Files moved by a driver that then stopped: without the marker they do not count."""
+    path = tmp_path / "a"
+    write_token_shards(spark.createDataFrame([("web", "train", 0, 0, [1, 2])], BLOCK), str(path))
+    (path / "_COMMITTED").unlink()
+    with pytest.raises(Exception, match="_COMMITTED"):
+        read_token_shards(spark, str(path), 2).count()
+    assert read_token_shards(spark, str(path), 2, committed=False).count() == 1
+
+
+def test_repeated_attempt_counts_once(tmp_path):
+    writer = token_shards.TokenShardWriter({"path": str(tmp_path / "a")})
+    rows = pa.table({"source": ["w"] * 4, "split": ["train"] * 4, "shard_id": [0, 0, 1, 1], "tokens": [[1, 2], [3], [], [4]]}).to_batches()
+    lost, first = writer.write(iter(rows)), writer.write(iter(rows))
+    assert len(lost.files) == 2
+    writer.commit([first, None])
+    assert sorted(p.name for p in (tmp_path / "a").rglob("*.bin")) == ["shard_00000.bin", "shard_00001.bin"]
+    assert (tmp_path / "a/w/train/shard_00000.bin").read_bytes() == b"\x01\x00\x02\x00\x03\x00"
+    with pytest.raises(ValueError, match="two tasks"):
+        again = token_shards.TokenShardWriter({"path": str(tmp_path / "b")})
+        again.commit([again.write(iter(rows)), again.write(iter(rows))])
+    assert not list((tmp_path / "b").rglob("*.bin"))
