@@ -36,18 +36,30 @@ def shuffle_key(seed: int, epoch: int) -> Column:
     )
 
 
-def epoch_order(mix: DataFrame, epoch: int, seed: int) -> DataFrame:
+def epoch_order(mix: DataFrame, epoch: int, seed: int, range_hex: int = 3) -> DataFrame:
     """Shard copies of one epoch in shuffled order, with their stream starts.
 
-    Only shard descriptions pass through the window, one row per ~10^8 tokens.
+    The key's first digits are ranges, 16 ** ``range_hex`` at most.  Places and
+    starts are running sums inside a range, on top of the range's own; only
+    range totals meet in one window.
     """
-    order = Window.orderBy("shuffle_key", "source", "shard_id", "copy")
+    keyed = mix.withColumn("epoch", F.lit(epoch)).withColumn("shuffle_key", shuffle_key(seed, epoch))
+    keyed = keyed.withColumn("rng", F.substring("shuffle_key", 1, range_hex))
+    totals = keyed.groupBy("epoch", "rng").agg(F.count("*").alias("copies"), F.sum("n_tokens").alias("tokens"))
+    earlier = Window.partitionBy("epoch").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    bases = totals.select(
+        "epoch", "rng", F.coalesce(F.sum("copies").over(earlier), zero).alias("first_place"),
+        F.coalesce(F.sum("tokens").over(earlier), zero).alias("first_token"),
+    )
+    order = Window.partitionBy("epoch", "rng").orderBy("shuffle_key", "source", "shard_id", "copy")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        mix.withColumn("shuffle_key", shuffle_key(seed, epoch))
-        .withColumn("place", F.row_number().over(order).cast("bigint") - 1)
-        .withColumn("shard_start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-        .select(F.lit(epoch).alias("epoch"), "place", "source", "shard_id", "copy", "n_tokens", "shard_start")
+    inside = keyed.withColumn("_place", F.row_number().over(order).cast("bigint") - 1).withColumn(
+        "_start", F.coalesce(F.sum("n_tokens").over(before), zero)
+    )
+    return inside.join(bases, ["epoch", "rng"]).select(
+        "epoch", (F.col("first_place") + F.col("_place")).alias("place"), "source", "shard_id", "copy", "n_tokens",
+        (F.col("first_token") + F.col("_start")).alias("shard_start"),
     )
 
 
@@ -55,7 +67,8 @@ def batch_windows(blocks: DataFrame, order: DataFrame, block_size: int, seq_len:
     """Training rows of one epoch: windows of L·m+1 tokens, one shared token.
 
     Leftover tokens of a shard run on into the next.  A shard copy is a range
-    of the stream, so windows inside it are assembled next to its blocks.
+    of the stream, so windows inside it are assembled next to its blocks: tokens
+    move once, by shard, and again only at the edges of shards.
     """
     step = seq_len * micro_batch
     placed = (
@@ -67,7 +80,9 @@ def batch_windows(blocks: DataFrame, order: DataFrame, block_size: int, seq_len:
         .withColumn("rng_start", F.col("shard_start"))
         .withColumn("rng_end", F.col("shard_start") + F.col("n_tokens"))
     )
-    windows = cut_stream(placed, ["epoch"], F.col("tokens"), "length", step + 1, step=step)
+    windows = cut_stream(
+        placed, ["epoch"], F.col("tokens"), "length", step + 1, step=step, placed_by=("source", "shard_id", "rng")
+    )
     offset = F.col("row") * seq_len
     return windows.select(
         "epoch", F.col("window_id").alias("batch_id"), "tokens", F.explode(F.sequence(F.lit(0), F.lit(micro_batch - 1))).alias("row")

@@ -1,22 +1,51 @@
 """Running totals over very long ordered groups, without one task per group.
 
 An integer order key is cut into nested ranges by dropping low bits.  Range
-totals are summed level by level, so every window partition holds at most
-``2 ** bits`` rows however large the group is; a group with a third of all
-rows spreads over as many tasks as it has ranges.  Ranges are a fixed function
-of the key, so a retried task finds the same ones.
+totals are summed level by level.  How many bits the first level drops follows
+from the keys: so many that a range of the fullest group holds some thousand
+rows, dense keys or hashed ones alike, and never more than ``RANGE_ROWS``.  Each
+further level drops 16 bits, up to all 64, so every window holds at most 65,536
+ranges however the keys are spread.  A group with a third of all rows spreads
+over as many tasks as it has ranges.  Ranges are a fixed function of the keys,
+so a retried task finds the same ones.
+
+Keys are unique within their group and not null; a query over others fails.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: rows per range at each level, as powers of two; the last level holds the
-#: remaining ranges of a group (2**22 of them up to keys of 2**48)
-LEVEL_BITS = (10, 16)
+#: most rows of a range
+RANGE_ROWS = 4096
+#: bits dropped by each level after the first
+LEVEL_BITS = 16
+
+
+def range_bits(rows: DataFrame, group: Sequence[str], order_key: str, most: int = RANGE_ROWS) -> tuple[int, ...]:
+    """Bits dropped at each level, so that no range has more than ``most`` rows and no level more than 2**16 ranges."""
+    key = F.col(order_key).cast("bigint")
+    spans = rows.groupBy(*group).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(key).alias("n")
+    ).agg(F.max(F.col("high").cast("double") - F.col("low").cast("double")).alias("span"), F.min(
+        (F.col("high").cast("double") - F.col("low").cast("double") + 1) / F.col("n")
+    ).alias("gap")).first()
+    if spans["gap"] is None:
+        return (0,)
+    first = min(62, max(0, int(math.log2(max(spans["gap"], 1) * most))))
+    while first and (1 << first) > most:  # keys lie apart on average, but some may lie close
+        fullest = rows.groupBy(*group, F.shiftright(key, first).alias("rng")).count().agg(F.max("count")).first()[0]
+        if fullest <= most:
+            break
+        first = max(0, first - max(1, math.ceil(math.log2(fullest / most))))
+    levels = [first]
+    while spans["span"] / 2.0 ** sum(levels) >= 2**LEVEL_BITS:
+        levels.append(min(LEVEL_BITS, 63 - sum(levels)))
+    return tuple(levels)
 
 
 def _bases(totals: DataFrame, group: Sequence[str], bits: Sequence[int]) -> DataFrame:
@@ -40,6 +69,11 @@ def _bases(totals: DataFrame, group: Sequence[str], bits: Sequence[int]) -> Data
     )
 
 
+def _order_key(order_key: str) -> Column:
+    message = F.lit(f"null in the order key {order_key}")
+    return F.coalesce(F.col(order_key).cast("bigint"), F.raise_error(message).cast("bigint"))
+
+
 def _ranges(
     rows: DataFrame, group: Sequence[str], order_key: str, length: Column | str, bits: Sequence[int]
 ) -> tuple[DataFrame, DataFrame]:
@@ -47,7 +81,7 @@ def _ranges(
     length = F.col(length) if isinstance(length, str) else length
     # a key that cannot be null keeps the join from adding null tests to some of
     # the branches, which would make them read the rows anew instead of sharing
-    key = F.coalesce(F.col(order_key).cast("bigint"), F.lit(0))
+    key = F.coalesce(_order_key(order_key), F.lit(0))
     ranged = rows.withColumn("rng", F.shiftright(key, bits[0])).withColumn("_length", length.cast("bigint"))
     totals = ranged.groupBy(*group, "rng").agg(F.sum("_length").alias("total"))
     return ranged, _bases(totals, group, bits[1:])
@@ -59,7 +93,7 @@ def keep_heads(
     order_key: str,
     length: Column | str,
     limit: Column | int,
-    bits: Sequence[int] = LEVEL_BITS,
+    bits: Sequence[int] | None = None,
 ) -> DataFrame:
     """Drop rows of ranges that start at or beyond ``limit``, before any shuffle.
 
@@ -67,6 +101,7 @@ def keep_heads(
     driver as one number per configured source; it turns into a plain bound on
     the order key, which the scan can use to skip files and row groups.
     """
+    bits = bits or range_bits(rows, [source], order_key)
     _, bases = _ranges(rows, [source], order_key, length, bits)
     limit = F.lit(limit) if isinstance(limit, int) else limit
     lasts = bases.where(F.col("base") < limit).groupBy(source).agg(F.max("rng").alias("last")).collect()
@@ -74,6 +109,7 @@ def keep_heads(
     for row in lasts:
         bound = min((row["last"] + 1 << bits[0]) - 1, 2**63 - 1)
         keep = keep | ((F.col(source) == row[source]) & (F.col(order_key) <= F.lit(bound)))
+    # the range totals above have failed if a key is null
     return rows.where(keep)
 
 
@@ -82,7 +118,7 @@ def running_start(
     group: Sequence[str],
     order_key: str,
     length: Column | str,
-    bits: Sequence[int] = LEVEL_BITS,
+    bits: Sequence[int] | None = None,
 ) -> DataFrame:
     """Add ``start``, the sum of ``length`` over earlier rows of the group.
 
@@ -90,10 +126,14 @@ def running_start(
     by (group, ``rng``), and the output keeps that partitioning; ``rng_start``
     and ``rng_end`` are the bounds of the row's range in the same running sum.
     """
+    bits = bits or range_bits(rows, group, order_key)
     ranged, bases = _ranges(rows, group, order_key, length, bits)
-    window = Window.partitionBy(*group, "rng").orderBy(order_key).rowsBetween(Window.unboundedPreceding, -1)
+    window = Window.partitionBy(*group, "rng").orderBy(order_key)
+    inside = F.coalesce(F.sum("_length").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    twice = F.lag(F.col(order_key)).over(window) == F.col(order_key)
+    message = F.concat(F.lit(f"repeated order key {order_key}: "), F.col(order_key).cast("string"))
     return (
-        ranged.withColumn("_inside", F.coalesce(F.sum("_length").over(window), F.lit(0)))
+        ranged.withColumn("_inside", F.when(F.coalesce(twice, F.lit(False)), F.raise_error(message).cast("bigint")).otherwise(inside))
         .join(bases, [*group, "rng"])
         .withColumn("start", F.col("base") + F.col("_inside"))
         .withColumn("rng_end", F.col("base") + F.col("total"))

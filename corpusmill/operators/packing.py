@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import EOS_ID, with_eos
-from corpusmill.operators.offsets import LEVEL_BITS, keep_heads, running_start
+from corpusmill.operators.offsets import keep_heads, range_bits, running_start
 
 
-def token_offsets(docs: DataFrame, n_tokens: str = "n_tokens", bits: Sequence[int] = LEVEL_BITS) -> DataFrame:
+def token_offsets(docs: DataFrame, n_tokens: str = "n_tokens", bits: Sequence[int] | None = None) -> DataFrame:
     """Start of each document in its source's stream, one EOS after each.
 
     Documents without tokens take no room and are dropped.
@@ -41,6 +41,7 @@ def cut_stream(
     size: int,
     step: int | None = None,
     max_windows: Column | None = None,
+    placed_by: Sequence[str] = ("rng",),
 ) -> DataFrame:
     """Cut streams into windows of ``size`` tokens starting every ``step``.
 
@@ -50,7 +51,8 @@ def cut_stream(
 
     A window that lies within one range is assembled inside the task that
     already holds the range; only windows across two ranges are shuffled.  Both
-    branches read the same exchange.
+    branches read the same exchange.  ``placed_by`` are the columns that name a
+    range and by which, or some of which, the rows are placed already.
     """
     step = step or size
     keys = [*group, "window_id"]
@@ -76,7 +78,7 @@ def cut_stream(
         return (
             part.withColumn("tokens", tokens)
             .select(
-                *group, "rng", "rng_start", "rng_end", "start", "end", "tokens",
+                *dict.fromkeys([*group, *placed_by]), "rng_start", "rng_end", "start", "end", "tokens",
                 F.explode(F.sequence("first", "last")).alias("window_id"),
             )
             .where(keep)
@@ -87,7 +89,8 @@ def cut_stream(
             )
         )
 
-    inside = _join_pieces(pieces(spans, ~crosses("window_id"), "rng"), [*keys, "rng"])
+    local = [c for c in placed_by if c not in keys]
+    inside = _join_pieces(pieces(spans, ~crosses("window_id"), *local), [*keys, *local])
     edges = spans.where(crosses("first") | crosses("last"))
     across = _join_pieces(pieces(edges, crosses("window_id")), keys).where(F.size("tokens") == size)
     return inside.select(*keys, "tokens").unionByName(across)
@@ -99,7 +102,7 @@ def pack_blocks(
     tokens: Column | None = None,
     eos_id: int = EOS_ID,
     max_tokens: int | None = None,
-    bits: Sequence[int] = LEVEL_BITS,
+    bits: Sequence[int] | None = None,
 ) -> DataFrame:
     """Pack documents (source, doc_id, n_tokens, ...) into full blocks.
 
@@ -111,6 +114,7 @@ def pack_blocks(
     cap = None
     if max_tokens is not None:
         blocks = capped_blocks(max_tokens, block_size)
+        bits = bits or range_bits(docs, ["source"], "doc_id")
         docs = keep_heads(docs.where("n_tokens > 0"), "source", "doc_id", F.col("n_tokens") + 1, blocks * block_size, bits)
         cap = F.lit(blocks).cast("bigint")
     return cut_stream(

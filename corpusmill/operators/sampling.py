@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import utf8_length
-from corpusmill.operators.offsets import LEVEL_BITS, keep_heads, running_start
+from corpusmill.operators.offsets import keep_heads, running_start
 
 
 def per_source(values: Mapping[str, object], source: Column, dtype: str) -> Column:
@@ -18,7 +18,7 @@ def per_source(values: Mapping[str, object], source: Column, dtype: str) -> Colu
 
 
 def byte_budget_prefix(
-    docs: DataFrame, weights: Mapping[str, float], total_bytes: int, bits: Sequence[int] = LEVEL_BITS
+    docs: DataFrame, weights: Mapping[str, float], total_bytes: int, bits: Sequence[int] | None = None
 ) -> DataFrame:
     """Keep a document when fewer bytes than the budget lie before it.
 

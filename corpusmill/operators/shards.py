@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.operators.packing import capped_blocks
+
 
 def shard_of_block(block_id: str, block_size: int, shard_tokens: int) -> Column:
     """Shard of the 0-based block in column ``block_id``.
@@ -46,6 +48,25 @@ def shard_table(blocks: DataFrame, block_size: int) -> DataFrame:
     )
 
 
+def shard_counts(docs: DataFrame, block_size: int, shard_tokens: int, max_tokens: int | None = None) -> DataFrame:
+    """As :func:`shard_table`, from documents (source, n_tokens) alone: no token is made or moved.
+
+    A source's blocks follow from the sum of its token counts, its shards and
+    their sizes from the number of blocks.
+    """
+    totals = docs.where("n_tokens > 0").groupBy("source").agg(F.sum(F.col("n_tokens").cast("bigint") + 1).alias("total"))
+    blocks = F.expr(f"total div {block_size}L")
+    if max_tokens is not None:
+        blocks = F.least(blocks, F.lit(capped_blocks(max_tokens, block_size)))
+    counted = totals.select("source", blocks.alias("blocks")).where("blocks > 0").withColumn("last_block", F.col("blocks") - 1)
+    last = shard_of_block("last_block", block_size, shard_tokens)
+    each = counted.select("source", "blocks", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("shard_id"))
+    each = each.withColumn("next_shard", F.col("shard_id") + 1)
+    end = F.least(F.col("blocks"), first_block("next_shard", block_size, shard_tokens))
+    n = end - first_block("shard_id", block_size, shard_tokens)
+    return each.select("source", "shard_id", n.alias("n_blocks"), (n * block_size).alias("n_tokens"))
+
+
 def shard_report(shards: DataFrame) -> DataFrame:
     """Blocks, tokens and shards of each source."""
     return shards.groupBy("source").agg(

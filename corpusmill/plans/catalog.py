@@ -15,11 +15,12 @@ from corpusmill.operators import batches, dedup, evaluate, metrics, mix, samplin
 from corpusmill.operators.packing import token_offsets as offsets_of
 from corpusmill.plans import corpus
 from corpusmill.session import materialize, scratch_path, spread
-from corpusmill.sources import registry, token_shards
+from corpusmill.sources import registry, token_shards, vocab_io
 from corpusmill.streaming import dedup as stream_dedup_ops
 from corpusmill.streaming import metrics as stream_metrics_ops
 from corpusmill.streaming import pack as stream_pack_ops
 from corpusmill.streaming import scan as stream_scan_ops
+from corpusmill.streaming.files import part_of, write_arrivals
 
 SOURCES = ("en", "fr", "de", "es")
 WEIGHTS = {"en": 0.60, "fr": 0.20, "de": 0.10, "es": 0.10}
@@ -36,11 +37,14 @@ EVAL_SHARD_TOKENS = 20_000
 EVAL_BATCHES = 30
 COVERAGE = 0.9999
 VOCAB_SIZE = 2000  # the reference trains 32,000 pieces
+BEST_PAIRS = 1000  # a report of the top
 EPOCH, SEED = 1, 7
 SEQ_LEN, MICRO_BATCH = 128, 4
 SMOOTHING = 0.5
 MIN_SHINGLES = 10  # lsh_bands leaves poorer blocks out
 GRAD_ACCUM, LOG_EVERY, TOKENS_PER_STEP = 4, 10, 4096
+ARRIVALS = 5  # micro-batches of a streaming query
+LATE_EVERY, WINDOW_WIDTH, WINDOW_DELAY = 97, "1 day", "12 hours"
 RUN_TOKENS, STEP_TOKENS = 2_000_000, SEQ_LEN * MICRO_BATCH * 2  # two micro-batches a step
 
 
@@ -65,6 +69,22 @@ def scan_source(spark, sf_dir):
     return registry.scan_source(spark, _sources(sf_dir), "en")
 
 
+def scan_json(spark, sf_dir):
+    """JSON files without an integer id: documents are numbered as they lie there."""
+    path = scratch_path(spark, "json-source")
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id")
+    rows.select(F.concat(F.lit("d"), "doc_id").alias("id"), F.col("text").alias("body"), "lang").write.json(path)
+    spec = registry.SourceSpec(path, "json", "body", "id", "lang <> 'de'", "id string, body string, lang string")
+    return registry.scan_source(spark, {"web": spec}, "web")
+
+
+def corpus_text(spark, sf_dir):
+    """Text files of one record per document, read back as lines: a record of several lines counts for each."""
+    path = scratch_path(spark, "corpus-text")
+    registry.write_corpus_text(_docs(spark, sf_dir), path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 def union_sources(spark, sf_dir):
     return registry.union_sources(spark, _sources(sf_dir), SOURCES)
 
@@ -154,7 +174,8 @@ def shard_manifest(spark, sf_dir):
 
 
 def _shard_table(spark, sf_dir) -> DataFrame:
-    return shards.shard_table(_shards(spark, sf_dir), FEED_BLOCK)
+    docs = _docs(spark, sf_dir).select("source", F.octet_length("text").alias("n_tokens"))
+    return shards.shard_counts(docs, FEED_BLOCK, SHARD_TOKENS)
 
 
 def shard_report(spark, sf_dir):
@@ -196,8 +217,7 @@ def next_token_labels(spark, sf_dir):
 
 def batch_windows(spark, sf_dir):
     blocks = materialize(_shards(spark, sf_dir), "blocks")
-    order = batches.epoch_order(mix.weighted_mix(shards.shard_table(blocks, FEED_BLOCK), MIX_WEIGHTS), EPOCH, SEED)
-    rows = batches.batch_windows(blocks, order, FEED_BLOCK, SEQ_LEN, MICRO_BATCH)
+    rows = batches.batch_windows(blocks, _epoch(spark, sf_dir), FEED_BLOCK, SEQ_LEN, MICRO_BATCH)
     return rows.select("batch_id", "row", _joined("input_ids"), _joined("labels"))
 
 
@@ -248,6 +268,18 @@ def match_jaccard(spark, sf_dir):
     return pairs.withColumn("jaccard", F.round("jaccard", 9))
 
 
+def duplicate_keys(spark, sf_dir):
+    """Sorted keys of duplicate blocks, found in stored shards."""
+    path = scratch_path(spark, "dedup-shards")
+    token_shards.write_token_shards(_shards(spark, sf_dir, DEDUP_BLOCK), path)
+    stored = token_shards.read_token_shards(spark, path, DEDUP_BLOCK)
+    blocks = spread(materialize(dedup.stored_blocks(stored, token_shards.list_shards(spark, path)), "stored-blocks"), "ord")
+    flags = dedup.dedup_flags(dedup.sketch_blocks(blocks.select("ord", "tokens")))
+    keys = scratch_path(spark, "duplicate-keys")
+    dedup.write_duplicate_keys(dedup.duplicate_keys(blocks, flags), keys)
+    return spark.read.text(keys).withColumnRenamed("value", "key")
+
+
 # --- vocabulary -------------------------------------------------------------
 
 
@@ -264,6 +296,11 @@ def pair_counts(spark, sf_dir):
     return vocab.pair_counts(vocab.covered_words(word_counts(spark, sf_dir), chars))
 
 
+def best_pairs(spark, sf_dir):
+    """The most frequent pairs in the order in which they would be merged."""
+    return vocab.best_pairs(pair_counts(spark, sf_dir), BEST_PAIRS)
+
+
 def _vocabulary(spark, sf_dir) -> DataFrame:
     return vocab.train_vocab(spread(_docs(spark, sf_dir), "doc_id"), VOCAB_SIZE, COVERAGE)
 
@@ -276,6 +313,12 @@ def vocab_table(spark, sf_dir):
     return _vocabulary(spark, sf_dir)
 
 
+def vocab_file(spark, sf_dir):
+    path = scratch_path(spark, "vocab")
+    vocab_io.write_vocab(_vocabulary(spark, sf_dir), path)
+    return vocab_io.read_vocab(spark, path)
+
+
 def bpe_encode(spark, sf_dir):
     tokens = corpus.encode_table(_docs(spark, sf_dir), bpe_encoder(_vocabulary(spark, sf_dir)))
     return tokens.select("source", "doc_id", "n_tokens", _joined("tokens"))
@@ -376,16 +419,17 @@ def metrics_rollup(spark, sf_dir):
 # --- streaming --------------------------------------------------------------
 
 
-def _document_stream(spark, sf_dir, name) -> DataFrame:
-    spec = registry.SourceSpec(
-        f"{sf_dir}/{name}*.parquet", schema="doc_id bigint, text string, lang string, source string, n_chars bigint"
-    )
-    return stream_scan_ops.stream_source(spark, spec, source_field="lang")
+def _document_stream(spark, sf_dir, root) -> DataFrame:
+    """Documents in order of id as several arrivals, each a micro-batch."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    files = write_arrivals(rows, f"{root}/arrivals", part_of(rows, "doc_id", ARRIVALS), ARRIVALS)
+    spec = registry.SourceSpec(f"{root}/arrivals", schema="doc_id bigint, text string, lang string")
+    return stream_scan_ops.stream_source(spark, spec, source_field="lang", max_files=files)
 
 
 def stream_scan(spark, sf_dir):
     root = scratch_path(spark, "stream-scan")
-    stream = _document_stream(spark, sf_dir, "documents")
+    stream = _document_stream(spark, sf_dir, root)
     sink = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/log")
     sink.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/out")
@@ -393,8 +437,8 @@ def stream_scan(spark, sf_dir):
 
 def _packed_stream(spark, sf_dir, max_tokens=None):
     root = scratch_path(spark, "stream-pack")
-    handler = stream_pack_ops.PackStream(root, FEED_BLOCK, max_tokens=max_tokens)
-    stream_scan_ops.run_batches(_document_stream(spark, sf_dir, "documents"), handler, f"{root}/log").awaitTermination()
+    handler = stream_pack_ops.PackStream(root, FEED_BLOCK, max_tokens=max_tokens, sources=SOURCES)
+    stream_scan_ops.run_to_end(_document_stream(spark, sf_dir, root), handler, f"{root}/log")
     return spark.read.parquet(f"{root}/blocks").select("source", "block_id", _joined("tokens"))
 
 
@@ -409,14 +453,30 @@ def stream_cap(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     root = scratch_path(spark, "stream-dedup")
     blocks = _dedup_blocks(spark, sf_dir).select("ord", "tokens")
-    arrivals = f"{root}/arrivals"
-    blocks.write.parquet(arrivals)
-    stream = spark.readStream.schema("ord bigint, tokens array<int>").parquet(arrivals)
+    files = write_arrivals(blocks, f"{root}/arrivals", part_of(blocks, "ord", ARRIVALS), ARRIVALS)
+    stream = spark.readStream.schema("ord bigint, tokens array<int>").option("maxFilesPerTrigger", files).parquet(f"{root}/arrivals")
     handler = stream_dedup_ops.DedupStream(root)
     stream_scan_ops.run_batches(stream, handler, f"{root}/log").awaitTermination()
     return spark.read.schema(stream_dedup_ops.FLAGS).parquet(f"{root}/flags/*")
 
 
+def stream_windows(spark, sf_dir):
+    """Mean loss per day of event time; every 97th event arrives late by half of the run."""
+    root = scratch_path(spark, "stream-windows")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    n = events.count()
+    steps = _micro_steps(events).withColumn("ts", F.col("ts").cast("timestamp"))
+    arrival = F.col("micro_step") + F.when(F.col("micro_step") % LATE_EVERY == 5, n // 2).otherwise(0)
+    part = F.least(F.lit(ARRIVALS - 1), F.floor(arrival * ARRIVALS / max(n, 1))).cast("int")
+    files = write_arrivals(steps, f"{root}/arrivals", part, ARRIVALS)
+    stream = spark.readStream.schema(steps.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/arrivals")
+    windows = stream_metrics_ops.windowed_metrics(stream, WINDOW_WIDTH, WINDOW_DELAY)
+    sink = windows.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/log")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    closed = spark.read.schema("window_start timestamp, n_steps bigint, loss double, ppl double").parquet(f"{root}/out")
+    return _shown_metrics(closed.withColumn("window_start", F.unix_seconds("window_start")), "ppl")
+
+
 def stream_metrics(spark, sf_dir):
     root = scratch_path(spark, "stream-metrics")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -435,6 +495,8 @@ def stream_metrics(spark, sf_dir):
 
 QUERIES = {
     "scan_source": scan_source,
+    "scan_json": scan_json,
+    "corpus_text": corpus_text,
     "union_sources": union_sources,
     "non_empty_text": non_empty_text,
     "take_docs": take_docs,
@@ -466,11 +528,14 @@ QUERIES = {
     "dedup_report": dedup_report,
     "drop_flagged": drop_flagged,
     "match_jaccard": match_jaccard,
+    "duplicate_keys": duplicate_keys,
     "word_counts": word_counts,
     "char_coverage": char_coverage,
     "pair_counts": pair_counts,
+    "best_pairs": best_pairs,
     "train_bpe": train_bpe,
     "vocab_table": vocab_table,
+    "vocab_file": vocab_file,
     "bpe_encode": bpe_encode,
     "bpe_blocks": bpe_blocks,
     "bpe_roundtrip": bpe_roundtrip,
@@ -486,4 +551,5 @@ QUERIES = {
     "quality_filter": quality_filter,
     "stream_dedup": stream_dedup,
     "stream_metrics": stream_metrics,
+    "stream_windows": stream_windows,
 }

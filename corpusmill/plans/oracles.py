@@ -151,6 +151,11 @@ _ORD = f"({_RANK})::BIGINT * {2**40} + block_id"
 
 ORACLES = {
     "scan_source": "SELECT 'en' AS source, doc_id, text FROM documents WHERE lang = 'en' AND text <> ''",
+    "scan_json": """
+SELECT 'web' AS source, r AS doc_id, text FROM
+  (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM documents) WHERE lang <> 'de' AND text <> ''""",
+    "corpus_text": _with(_DOCS)
+    + "SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM docs) GROUP BY line",
     "union_sources": _with(_DOCS) + "SELECT source, doc_id, text FROM docs",
     "non_empty_text": """
 SELECT doc_id, (i - 1)::INTEGER AS line_no, parts[i] AS text
@@ -243,6 +248,10 @@ common AS (SELECT f.ord, f.kept_ord, count(*) AS n FROM flags f JOIN sets a ON a
 SELECT f.ord, f.kept_ord, round(coalesce(common.n, 0) / (a.n + b.n - coalesce(common.n, 0)), 9) AS jaccard
 FROM flags f JOIN sizes a ON a.ord = f.ord JOIN sizes b ON b.ord = f.kept_ord
 LEFT JOIN common ON common.ord = f.ord AND common.kept_ord = f.kept_ord""",
+    "duplicate_keys": _with(*_FLAGS, _blocks(c.DEDUP_BLOCK), _numbered(c.DEDUP_BLOCK))
+    + f"""
+SELECT source || '/train/shard_' || lpad(shard_id::VARCHAR, 5, '0') || '.bin:' || block_in_shard AS key
+FROM numbered WHERE {_ORD} IN (SELECT ord FROM flags)""",
     "stream_dedup": _with(*_FLAGS) + "SELECT ord, kept_ord FROM flags",
     "word_counts": _with(_DOCS, _LINES, _WORDS) + "SELECT word, n FROM words",
     "char_coverage": _with(_DOCS, _LINES, _CHARS) + "SELECT ch, n, rank FROM covered",
@@ -251,6 +260,12 @@ LEFT JOIN common ON common.ord = f.ord AND common.kept_ord = f.kept_ord""",
 , places AS (SELECT n, regexp_extract_all(word, '(?s).') AS cs, unnest(range(1, length(word))) AS i FROM words)
 SELECT cs[i] AS left, cs[i + 1] AS right, sum(n)::BIGINT AS n FROM places
 WHERE cs[i] IN (SELECT ch FROM covered) AND cs[i + 1] IN (SELECT ch FROM covered) GROUP BY ALL""",
+    "best_pairs": _with(_DOCS, _LINES, _WORDS, _CHARS)
+    + f"""
+, places AS (SELECT n, regexp_extract_all(word, '(?s).') AS cs, unnest(range(1, length(word))) AS i FROM words)
+SELECT cs[i] AS left, cs[i + 1] AS right, sum(n)::BIGINT AS n FROM places
+WHERE cs[i] IN (SELECT ch FROM covered) AND cs[i + 1] IN (SELECT ch FROM covered) GROUP BY ALL
+ORDER BY n DESC, "left" || "right", "left" LIMIT {c.BEST_PAIRS}""",
     "bpe_roundtrip": _with(_DOCS) + "SELECT doc_id, text FROM docs",
     "tokenizer_stats": _with(_DOCS)
     + """
@@ -285,6 +300,14 @@ SELECT g * {c.LOG_EVERY} AS step, round(loss, 9) AS loss, round(exp(least(loss,
     "stream_cap": _with(*_BASE, _blocks(c.FEED_BLOCK, c.CAP_TOKENS)) + _PACKED,
     "quality_filter": """
 SELECT d.doc_id, d.source, d.n_chars, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE l.quality >= 1""",
+    "stream_windows": f"""
+WITH n AS (SELECT count(*) AS n FROM events),
+e AS (SELECT ts, value / 100 AS loss, least({c.ARRIVALS - 1},
+    (event_id + CASE WHEN event_id % {c.LATE_EVERY} = 5 THEN n // 2 ELSE 0 END) * {c.ARRIVALS} // n) AS b FROM events, n),
+w AS (SELECT DISTINCT b, max(ts) OVER (ORDER BY b) - INTERVAL '{c.WINDOW_DELAY}' AS mark FROM e),
+d AS (SELECT date_trunc('day', ts) AS day, loss, mark FROM e LEFT JOIN w ON w.b = e.b - 2)
+SELECT epoch(day)::BIGINT AS window_start, count(*) AS n_steps, round(avg(loss), 9) AS loss, round(exp(least(avg(loss), 20)), 6) AS ppl
+FROM d WHERE (mark IS NULL OR day + INTERVAL '1 day' > mark) AND day + INTERVAL '1 day' <= (SELECT max(mark) FROM w) GROUP BY day""",
     "stream_metrics": f"""
 SELECT g * {c.LOG_EVERY} AS step, count(*) AS n_steps, round(avg(loss), 9) AS loss, round(exp(least(avg(loss), 20)), 6) AS ppl,
   (g * {c.LOG_EVERY * c.TOKENS_PER_STEP})::BIGINT AS tokens_seen

@@ -25,7 +25,11 @@ def live_metrics(steps: DataFrame, log_every: int, tokens_per_step: int) -> Data
 
 
 def windowed_metrics(steps: DataFrame, width: str, delay: str) -> DataFrame:
-    """Mean loss per event-time window, emitted once the watermark has passed."""
+    """Mean loss per event-time window, emitted once the watermark has passed.
+
+    Rows whose window has been emitted come too late and are dropped; the state
+    holds the windows between the watermark and the newest row.
+    """
     return (
         steps.withWatermark("ts", delay)
         .groupBy(F.window("ts", width).alias("w"))

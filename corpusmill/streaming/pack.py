@@ -2,12 +2,14 @@
 
 State is one small row per source (tail tokens and next block number), written
 per batch id.  A batch reads the state of the batch before it and overwrites
-its own output, so running a batch again changes nothing.
+its own output, so running a batch again changes nothing.  With a cap and the
+names of all sources, the handler knows when nothing more is wanted: batches
+after that are not read, and ``run_to_end`` stops the stream.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +31,8 @@ class PackStream:
     encode: Callable[[Column], Column] = byte_tokens
     eos_id: int = EOS_ID
     max_tokens: int | None = None
+    sources: Sequence[str] = ()
+    finished: bool = False
 
     def _path(self, kind: str, batch_id: int) -> str:
         return f"{self.root}/{kind}/batch_id={batch_id}"
@@ -39,6 +43,13 @@ class PackStream:
             return spark.createDataFrame([], STATE)
         return spark.read.schema(STATE).parquet(self._path("state", batch_id - 1))
 
+    def is_capped(self, state: DataFrame) -> bool:
+        """Whether every named source has all its blocks."""
+        if self.max_tokens is None or not self.sources:
+            return False
+        full = state.where(F.col("next_block") >= capped_blocks(self.max_tokens, self.block_size))
+        return full.where(F.col("source").isin(*self.sources)).count() == len(set(self.sources))
+
     def _rows(self, docs: DataFrame, state: DataFrame) -> DataFrame:
         """Tail and new documents of each source as one stream from 0."""
         carried = state.select("source", "next_block", F.size("tail").cast("bigint").alias("tail_tokens"))
@@ -69,6 +80,11 @@ class PackStream:
         return tails.unionByName(new)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        before = self._state_before(batch, batch_id)
+        if self.is_capped(before):
+            self.finished = True
+            before.write.mode("overwrite").parquet(self._path("state", batch_id))
+            return
         tokens = self.encode(F.col("text"))
         docs = materialize(
             batch.select("source", "doc_id", tokens.alias("tokens")).withColumn("n_tokens", F.size("tokens")), "stream-tokens"
@@ -83,6 +99,7 @@ class PackStream:
             "overwrite"
         ).parquet(self._path("blocks", batch_id))
         self._next_state(rows, state).write.mode("overwrite").parquet(self._path("state", batch_id))
+        self.finished = self.is_capped(self._state_before(batch, batch_id + 1))
 
     def _next_state(self, rows: DataFrame, state: DataFrame) -> DataFrame:
         """Tokens after the last full block, and its number; under one block per source."""
