@@ -1,19 +1,22 @@
 """Operator 3, n-gram Jaccard join: adaptive multi-match prefixes, verified exactly.
 
 A document is its set of distinct shingle hashes.  Equal sets are one class, so
-copies never meet each other.  All sets are ordered alike, rarest shingle first.
-If two sets link, their prefixes of n - ceil(0.9 n) + k shingles share at least
-k.  Each set picks its own k by estimated cost: a longer prefix makes more join
-rows but asks for more shared shingles before a pair is verified.  A pair needs
-as many shared prefix shingles as the smaller k of the two.
-
-Rarity comes from a fixed number of hashed counters over all documents; they
-order and estimate, results do not depend on them.
-
-Holders of a prefix shingle are first linked to the smallest holder and to the
-one before them; only holders in different components then after meet in
-pairs.  So a family of near copies costs its members, not their pairs, and yet
-every pair that could join two components is tested.
+copies never meet each other.  Shingles that no other class has are counted
+first, exactly: with u of n shared, a class links at most with sizes up to
+u (100 + p) / p - n, which leaves out all that has no near duplicate.  The sets
+of the rest are ordered alike, rarest shingle first.  If two sets link, their
+prefixes of n - ceil(0.9 n) + k shingles share at least k.  Each set picks its
+own k by estimated cost: a longer prefix makes more join rows but asks for more
+shared shingles before a pair is verified.  A pair needs as many shared prefix
+shingles as the smaller k of the two.
+
+Counting unshared shingles moves 5 bytes of hash per shingle and a few per
+document, packed by bucket of hashes; a shingle that several documents of one
+batch have goes out once for the batch.
+
+Holders of a prefix shingle meet as ``meet`` says: a family of near copies
+costs its members, not their pairs, and yet every pair that could join two
+components is tested.
 
 Defined cases: a text that is null or has no words has no shingles and is its
 own component; a null doc_id takes part but names a component only if all ids
@@ -28,47 +31,72 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.components import connected_components
-from corpusmill.llm.text import hash_words, in_pieces, join_rows, mix, row_key
+from corpusmill.llm.meet import link_holders, members
+from corpusmill.llm.text import (
+    HASH_BYTES, PLAIN_SPACES, ROW, cut_pieces, hash_words, in_pieces, join_rows, mix, row_key, whole_rows,
+)
 from corpusmill.session import cut_lineage, materialize
 
 SHINGLE_WORDS, PERCENT = 3, 90
-#: hashed counters, a vector of 8-byte numbers that is broadcast: 2 MB whatever the input
-COUNTERS = 1 << 18
+#: buckets of hashes: as many as there are runs of this size in the texts, and at least some
+BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 64
+#: shingles packed at a time
+PACK_ROWS = 1 << 21
 #: longest extension of a prefix, and a verified pair's cost in join rows
 MOST_MATCHES, VERIFY_COST = 6, 50.0
 #: ids of documents to read again are broadcast up to this many, else joined by a shuffle
 BROADCAST_IDS = 1_000_000
 
 
+def _rolled(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` words from each place; places too near the end hold less."""
+    with np.errstate(over="ignore"):
+        rolled = words.copy()
+        for k in range(1, width):
+            left = max(0, len(words) - k)
+            rolled[:left] = mix(rolled[:left] * np.uint64(0x9FB21C651E98DF25) + words[k:])
+    return rolled
+
+
+def _long_set(raw: bytes, width: int) -> np.ndarray:
+    """The set of one text of over a megabyte: piece by piece, each after the last words of the one before."""
+    found, tail = [], b""
+    for piece in cut_pieces(raw.translate(PLAIN_SPACES)):
+        piece = tail + b" " + piece
+        words, _ = hash_words([piece])
+        found.append(np.unique(_rolled(words, width)[: max(0, len(words) - width + 1)]))
+        tail = b" ".join(piece.rsplit(None, width - 1)[-(width - 1) :]) if width > 1 else b""
+    return np.unique(np.concatenate(found))
+
+
 def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text of fewer words is one shingle."""
     raw = [(t or "").encode().lower() for t in texts]
     for first, last in in_pieces(raw):
+        if last == first + 1 and len(raw[first]) > HASH_BYTES and len(raw[first].split(None, width)) >= width:
+            yield _long_set(raw[first], width)
+            continue
         words, lengths = hash_words(raw[first:last])
-        with np.errstate(over="ignore"):
-            rolled = words.copy()
-            for k in range(1, width):
-                left = max(0, len(words) - k)
-                rolled[:left] = mix(rolled[:left] * np.uint64(0x9FB21C651E98DF25) + words[k:])
-            at = 0
-            for n in lengths:
-                if n >= width:
-                    yield np.unique(rolled[at : at + n - width + 1])
-                elif n:
-                    short = np.uint64(n)
+        rolled = _rolled(words, width)
+        at = 0
+        for n in lengths:
+            if n >= width:
+                yield np.unique(rolled[at : at + n - width + 1])
+            elif n:
+                short = np.uint64(n)
+                with np.errstate(over="ignore"):
                     for w in words[at : at + n]:
                         short = mix(np.array([short * np.uint64(0xD6E8FEB86659FD93) + w]))[0]
-                    yield np.array([short])
-                else:
-                    yield words[:0]
-                at += n
+                yield np.array([short])
+            else:
+                yield words[:0]
+            at += n
 
 
-def _node(shingles: np.ndarray) -> bytes | None:
+def set_node(shingles: np.ndarray) -> bytes | None:
     """128 bits that stand for a set; None for the empty one."""
     if not len(shingles):
         return None
@@ -78,50 +106,106 @@ def _node(shingles: np.ndarray) -> bytes | None:
     return np.array(sums, ">u8").tobytes()
 
 
-def _describe(width: int, counters: int):
-    """Rows (doc_id, n, node) of documents and at the end one with the part's counts of hashed shingles."""
+def short_node(node: bytes) -> int:
+    """The first 8 bytes of a node, to count by."""
+    return int.from_bytes(node[:8], "big", signed=True)
+
+
+def _describe(width: int):
+    """Rows (doc_id, text_md5, n, node, short) of documents."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(counters, np.int32)
         for batch in batches:
             n, nodes = [], []
             for shingles in shingle_sets(batch.column(1).to_pylist(), width):
                 n.append(len(shingles))
-                nodes.append(_node(shingles))
-                np.add.at(counts, (shingles % np.uint64(counters)).astype(np.int64), 1)
+                nodes.append(set_node(shingles))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.nulls(len(n), pa.binary())],
-                ["doc_id", "text_md5", "n", "node", "counts"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()),
+                 pa.array([x and short_node(x) for x in nodes], pa.int64())],
+                ["doc_id", "text_md5", "n", "node", "short"],
             )
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
-             pa.array([counts.tobytes()], pa.binary())],
-            ["doc_id", "text_md5", "n", "node", "counts"],
-        )
 
     return describe
 
 
-def _sum_vectors(described: DataFrame, counters: int) -> np.ndarray:
-    """All parts' counts: added up in tasks, then in slices, so no task holds many vectors."""
-    slices = 64
+PACKED = "bucket int, hashes binary, nodes binary, lengths binary, repeated binary"
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(counters, np.int64)
-        for batch in batches:
-            for counts in batch["counts"]:
-                total += np.frombuffer(counts, np.int32)
-        yield pd.DataFrame({"slice": range(slices), "counts": [x.tobytes() for x in np.split(total, slices)]})
 
-    def add_slice(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.int64) for x in group["counts"])
-        return pd.DataFrame({"slice": group["slice"].iloc[:1], "counts": [total.tobytes()]})
+def _five_bytes(hashes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
-    schema = "slice int, counts binary"
-    partial = described.where(F.col("counts").isNotNull()).select("counts").mapInPandas(add, schema)
-    rows = partial.groupBy("slice").applyInPandas(add_slice, schema).collect()
-    parts = {row["slice"]: np.frombuffer(bytes(row["counts"]), np.int64) for row in rows}
-    return np.concatenate([parts.get(i, np.zeros(counters // slices, np.int64)) for i in range(slices)])
+
+def _from_five_bytes(parts: list[bytes]) -> np.ndarray:
+    packed = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(packed), 8), np.uint8)
+    wide[:, :5] = packed
+    return wide.view("<u8")[:, 0]
+
+
+def _pack(sets: dict[int, np.ndarray], n_buckets: int) -> Iterator[tuple]:
+    """Rows of PACKED for some sets by node: each shingle with its node, or once as repeated if several have it."""
+    values = np.concatenate(list(sets.values()))
+    owners = np.repeat(np.fromiter(sets, np.int64, len(sets)), [len(s) for s in sets.values()])
+    found, where, times = np.unique(values, return_index=True, return_counts=True)
+    bucket = ((found >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.int64)
+    single = times == 1
+    order = np.lexsort((owners[where], single, bucket))
+    found, owner, bucket, single = found[order], owners[where][order], bucket[order], single[order]
+    for part in np.split(np.arange(len(found)), np.flatnonzero(np.diff(bucket)) + 1):
+        once = part[single[part]]
+        starts = np.flatnonzero(np.diff(owner[once], prepend=owner[once[0]] ^ 1)) if len(once) else once
+        yield (
+            int(bucket[part[0]]), _five_bytes(found[once]), owner[once][starts].tobytes(),
+            np.diff(np.append(starts, len(once))).astype(np.int32).tobytes(), _five_bytes(found[part[~single[part]]]),
+        )
+
+
+def _offer(width: int, n_buckets: int):
+    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("hashes", "nodes", "lengths", "repeated")]])
+        held: dict[int, np.ndarray] = {}
+        size = 0
+        for batch in batches:
+            for shingles in shingle_sets(batch.column(0).to_pylist(), width):
+                if len(shingles):
+                    held[short_node(set_node(shingles))] = shingles
+                    size += len(shingles)
+                if size > PACK_ROWS:
+                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in _pack(held, n_buckets)], schema)
+                    held, size = {}, 0
+        if held:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in _pack(held, n_buckets)], schema)
+
+    return offer
+
+
+def _own_of_bucket(rows: pd.DataFrame) -> pd.DataFrame:
+    """How many shingles of the bucket each node has alone."""
+    hashes = _from_five_bytes(list(rows["hashes"]))
+    owners = np.repeat(np.frombuffer(b"".join(rows["nodes"]), np.int64), np.frombuffer(b"".join(rows["lengths"]), np.int32))
+    order = np.argsort(hashes, kind="stable")
+    hashes, owners = hashes[order], owners[order]
+    if not len(hashes):
+        return pd.DataFrame({"short": [], "own": []}, dtype="int64")
+    starts = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+    alone = np.minimum.reduceat(owners, starts) == np.maximum.reduceat(owners, starts)
+    alone &= ~np.isin(hashes[starts], _from_five_bytes(list(rows["repeated"])))
+    nodes, own = np.unique(owners[starts[alone]], return_counts=True)
+    return pd.DataFrame({"short": nodes, "own": own})
+
+
+def own_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """Rows (short, own): the number of shingles that no other class has, for classes with any.
+
+    A bucket has about BUCKET_BYTES of text; what many documents share takes an
+    entry per batch there.
+    """
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = max(LEAST_BUCKETS, -(-n_bytes // BUCKET_BYTES))
+    packed = texts.select("text").mapInArrow(_offer(width, n_buckets), PACKED)
+    per_bucket = packed.groupBy("bucket").applyInPandas(_own_of_bucket, "short bigint, own bigint")
+    return per_bucket.groupBy("short").agg(F.sum("own").alias("own"))
 
 
 def prefix_length(n: int, matches: int, percent: int = PERCENT) -> int:
@@ -145,46 +229,21 @@ def choose_matches(tokens: DataFrame, percent: int = PERCENT) -> DataFrame:
     return tokens.groupBy("node").agg(F.least(*costs)["k"].alias("k"))
 
 
-def _prefixes(width: int, percent: int, counters: int, totals):
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = totals.value
-        for batch in batches:
-            nodes, sizes, tokens = [], [], []
-            for shingles in shingle_sets(batch.column(0).to_pylist(), width):
-                if not len(shingles):
-                    continue
-                order = np.lexsort((shingles, known[(shingles % np.uint64(counters)).astype(np.int64)]))
-                nodes.append(_node(shingles))
-                sizes.append(len(shingles))
-                tokens.append(shingles[order[: prefix_length(len(shingles), MOST_MATCHES, percent)]].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
-                ["node", "n", "prefix"],
-            )
-
-    return prefixes
-
-
 def _sets(width: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [x for x in shingle_sets(batch.column(0).to_pylist(), width) if len(x)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_node(x) for x in found], pa.binary()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))],
+                [pa.array([set_node(x) for x in found], pa.binary()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))],
                 ["node", "shingles"],
             )
 
     return sets
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    return (a * 100 >= b * percent) & (b * 100 >= a * percent)
-
-
-def _sets_of(pairs: DataFrame, texts: DataFrame, documents: DataFrame, width: int) -> DataFrame:
-    """Rows (node, shingles) of the classes in pairs (a, b), from one document each, which is read again."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = documents.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_id")).join(wanted, "node", "left_semi")
+def sets_of(nodes: DataFrame, texts: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """Rows (node, shingles) of the given classes, from one document each, which is read again."""
+    ids = documents.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_id")).join(nodes, "node", "left_semi")
     ids = cut_lineage(ids.select("_id").distinct())
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -194,96 +253,45 @@ def _sets_of(pairs: DataFrame, texts: DataFrame, documents: DataFrame, width: in
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets meet the threshold."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("sa", "sb")).cast("bigint")
-    return cut_lineage(
-        both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-    )
+def ordered_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (node, n, at, token, holders): shingles that others have too, within the longest prefix of each class.
+
+    A set's shingles are ordered by holders, then by hash; those that it has alone come first and are left out.
+    """
+    each = sets.select("node", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("token"))
+    counts = each.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
+    listed = each.join(counts, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "token"))).alias("s"))
+    placed = listed.select("node", "n", (F.col("n") - F.size("s")).alias("_own"), F.posexplode("s").alias("_at", "s"))
+    longest = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) + MOST_MATCHES
+    placed = placed.select("node", "n", (F.col("_own") + F.col("_at")).alias("at"), "s.token", "s.holders")
+    return placed.where(F.col("at") < longest)
 
 
-def similarity_classes(
-    docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT, counters: int = COUNTERS
-) -> tuple[DataFrame, DataFrame]:
+def similarity_classes(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(documents, links): rows (doc_id, text_md5, n, node) of all documents, and linked pairs of classes that
     connect all that is connected (a, b)."""
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", row_key()[1])
-    schema = "doc_id bigint, text_md5 string, n bigint, node binary, counts binary"
-    described = materialize(texts.mapInArrow(_describe(width, counters), schema), "shingle-counts")
-    documents = described.where(F.col("counts").isNull()).drop("counts")
-    totals = spark.sparkContext.broadcast(_sum_vectors(described, counters))
-    prefixes = texts.select("text").mapInArrow(
-        _prefixes(width, percent, counters, totals), "node binary, n bigint, prefix array<bigint>"
-    )
-    # a class once, then a row per prefix shingle; a window over it tells who else has it
-    each = prefixes.dropDuplicates(["node"]).select("node", "n", F.posexplode("prefix").alias("at", "token"))
-    holders = Window.partitionBy("token")
-    in_order = holders.orderBy("n", "node")
-    tokens = materialize(
-        each.select(
-            "*", F.count("*").over(holders).alias("holders"), F.first("node").over(in_order).alias("first_node"),
-            F.first("n").over(in_order).alias("first_n"), F.lag("node").over(in_order).alias("last_node"),
-            F.lag("n").over(in_order).alias("last_n"),
-        ).where("holders > 1"),
-        "prefix-tokens",
-    )
-
-    matches = choose_matches(tokens, percent)
+    schema = "doc_id bigint, text_md5 string, n bigint, node binary, short bigint"
+    documents = materialize(texts.mapInArrow(_describe(width), schema), "shingle-counts")
+    shared = F.col("n") - F.coalesce("own", F.lit(0))
+    low = F.ceil(percent * F.col("n") / F.lit(100) - 1e-9)
+    high = F.floor((100 + percent) * shared / F.lit(percent) + 1e-9) - F.col("n")
+    able = documents.where("n > 0").join(own_shingles(texts, width), "short", "left").where(low <= high)
+    able = cut_lineage(able.select("node").distinct())
+    documents = documents.drop("short")
+    sets = sets_of(able, texts, documents, width)
+    tokens = materialize(ordered_prefixes(sets, percent), "prefix-tokens")
     in_prefix = F.col("at") < F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) + F.col("k")
-    tokens = materialize(tokens.join(matches, "node").where(in_prefix), "chosen-prefixes")
-
-    # first every holder against the smallest one and the one before it; this step may miss pairs, so it
-    # takes only those that meet often
-    near = tokens.select("node", "n", "k", F.explode(F.array(
-        F.struct(F.col("first_node").alias("node"), F.col("first_n").alias("n")),
-        F.struct(F.col("last_node").alias("node"), F.col("last_n").alias("n")),
-    )).alias("o")).where(F.col("o.node") != F.col("node")).where(_sizes_fit(F.col("n"), F.col("o.n"), percent))
-    near = near.groupBy(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).agg(
-        F.count("*").alias("shared"), F.min("k").alias("k")
-    )
-    tried = cut_lineage(near.where(F.col("shared") >= F.least("k", F.lit(3))).select("a", "b"))
-    links = _verified(tried, _sets_of(tried, texts, documents, width), percent)
-    joined = connected_components(links)
-
-    # then pairs of holders in different components
-    placed = tokens.select("token", "node", "n", "k", "at").join(joined, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    apart = F.min("component").over(holders) != F.max("component").over(holders)
-    placed = cut_lineage(placed.withColumn("_apart", apart).where("_apart").drop("_apart"))
-    other = placed.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "k", "at", "component")])
-    met = placed.join(other, "token").where(
-        (F.col("node") > F.col("node_b")) & (F.col("component") != F.col("component_b")) & _sizes_fit(F.col("n"), F.col("n_b"), percent)
-    )
-    met = met.groupBy("node", "node_b", "n", "n_b", "k", "k_b").agg(
-        F.count("*").alias("shared"), F.min("at").alias("at"), F.min("at_b").alias("at_b")
-    )
-    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("n_b")) / F.lit(100 + percent) - 1e-9)
-    bound = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
-    pairs = met.where((F.col("shared") >= F.least("k", "k_b")) & (bound >= need)).select(
-        F.col("node").alias("a"), F.col("node_b").alias("b")
-    )
-    pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"))
-    more = _verified(pairs, _sets_of(pairs, texts, documents, width), percent)
-    return documents, links.unionByName(more)
+    chosen = tokens.join(choose_matches(tokens, percent), "node").where(in_prefix)
+    beyond = F.greatest(F.lit(0), F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) - F.col("k"))
+    holders = chosen.select(F.col("token").alias("key"), "node", "n", "k", beyond.alias("rest"))
+    links = link_holders(holders, lambda nodes: sets, percent)
+    return documents, links
 
 
 def _members(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Rows (doc_id, text_md5, n, component_id), one per document."""
-    documents, links = similarity_classes(docs, width, percent)
-    component = connected_components(links)
-    per_class = documents.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"))
-    placed = per_class.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = placed.join(least, "component").select("node", "component", "component_id")
-    return documents.join(named, "node", "left").select(
-        "doc_id", "text_md5", "n", "component",
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    """Rows (doc_id, text_md5, n, component, component_id), one per document."""
+    return members(*similarity_classes(docs, width, percent))
 
 
 def near_duplicate_components(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -306,8 +314,7 @@ def keep_first(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCE
     lost = members.join(first, "component").where(key != F.col("first")).select("doc_id", "text_md5").distinct()
     lost = _checked(lost)
     again = _checked(members.groupBy("doc_id", "text_md5").count().where("count > 1").select("doc_id", "text_md5"))
-    keyed = docs.withColumn("text_md5", row_key()[1])
-    kept = join_rows(keyed, lost, "left_anti")
+    kept = join_rows(whole_rows(docs), lost, "left_anti")
     once = join_rows(kept, again, "left_anti")
     one = join_rows(kept, again, "left_semi").dropDuplicates(["doc_id", "text_md5"])
-    return once.unionByName(one).select(*docs.columns)
+    return once.unionByName(one).select(f"{ROW}.*")

@@ -50,11 +50,21 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.col(doc_id), F.md5(F.encode(whole(F.col(text)), "UTF-8")).alias("text_md5")]
 
 
+#: a column that holds a whole row, so that helper columns beside it clash with none of its own
+ROW = "_corpusmill_row"
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Rows (ROW, doc_id, text_md5)."""
+    return docs.select(F.struct("*").alias(ROW), *row_key())
+
+
 def join_rows(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """Join by (doc_id, text_md5); a null doc_id equals another one."""
-    right = right.withColumnsRenamed({"doc_id": "_id", "text_md5": "_md5"})
-    on = left["doc_id"].eqNullSafe(F.col("_id")) & (left["text_md5"] == F.col("_md5"))
-    return left.join(right, on, how).drop("_id", "_md5")
+    names = {"doc_id": "_corpusmill_id", "text_md5": "_corpusmill_md5"}
+    right = right.withColumnsRenamed(names)
+    on = left["doc_id"].eqNullSafe(F.col(names["doc_id"])) & (left["text_md5"] == F.col(names["text_md5"]))
+    return left.join(right, on, how).drop(*names.values())
 
 
 # --- numpy -------------------------------------------------------------------
@@ -65,6 +75,8 @@ _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: ASCII white space made plain spaces
+PLAIN_SPACES = bytes(32 if _IS_SPACE[b] else b for b in range(256))
 #: bytes hashed in one go; one longer text still goes in one piece
 HASH_BYTES = 1 << 20
 
@@ -87,23 +99,34 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (ASCII white space between them) of several texts, and the words per text.
-
-    Words of a buffer are sums of byte codes times powers of a base, so one
-    running sum over the buffer gives them all.
-    """
-    buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+def word_spans(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last-but-one places of the words in bytes that end with white space."""
     space = _IS_SPACE[buffer]
     inside = ~space
     starts = np.flatnonzero(inside & np.concatenate(([True], space[:-1])))
     ends = np.flatnonzero(space & np.concatenate(([False], inside[:-1])))
+    return starts, ends
+
+
+def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of a buffer.
+
+    They are sums of byte codes times powers of a base, so one running sum over
+    the buffer gives them all.
+    """
     powers, inverses = _powers(len(buffer) + 1)
     with np.errstate(over="ignore"):
         sums = np.cumsum(_BYTE_CODES[buffer] * powers[: len(buffer)], dtype=np.uint64)
         before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
-        words = mix((sums[ends - 1] - before) * inverses[starts] + (ends - starts).astype(np.uint64))
+        return mix((sums[ends - 1] - before) * inverses[starts] + (ends - starts).astype(np.uint64))
+
+
+def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (ASCII white space between them) of several texts, and the words per text."""
+    buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts, ends = word_spans(buffer)
+    words = span_hashes(buffer, starts, ends)
     text_starts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1])) if len(texts) else np.zeros(0, np.int64)
     bounds = np.append(np.searchsorted(starts, text_starts), len(starts))
     return words, np.diff(bounds)
