@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import (
-    bpe_chunks, language_id, lexical_search, lm_scoring, ngram_jaccard, quality_classifier, sharding, token_counts,
+    bpe_chunks, collocations, language_id, lexical_search, lm_scoring, ngram_jaccard, quality_classifier, setsketch, sharding,
+    token_counts,
 )
 from corpusmill.llm.decontaminate import contamination
 from corpusmill.llm.licenses import license_scan
@@ -63,6 +64,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.train(docs))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -70,5 +79,5 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_license_scans, op3_ngram_jaccard, op4_sharding, op5_quality_classifier,
     op6_byte_bpe, op7_lm_scoring, op8_decontamination, op9_token_counts, op10_language_id,
-    op13_lexical_search,
+    op11_collocations, op12_setsketch_dedup, op13_lexical_search,
 )}

@@ -70,6 +70,40 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
 """
 
+OP11 = rf"""
+WITH p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM (SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS t FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS g
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k))),
+f AS (SELECT lang, k, g, count(*) AS n FROM g GROUP BY lang, k, g),
+t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, n AS a, string_split(g, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+cut AS (SELECT lang, g, a, j, array_to_string(w[:j], ' ') AS gl, array_to_string(w[j + 1:], ' ') AS gr
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+s AS (SELECT cut.lang, cut.g, a, j, x.n AS l, y.n AS r, ((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n))::BIGINT AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.g = gl JOIN f y ON y.lang = cut.lang AND y.g = gr),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+inside AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS g, a FROM c WHERE k = 3),
+out AS (SELECT DISTINCT low.lang, low.g FROM low JOIN inside i ON i.lang = low.lang AND i.g = low.g WHERE 100 * i.a >= 50 * low.a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) AS rank
+      FROM low WHERE (lang, g) NOT IN (SELECT lang, g FROM out))
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM o JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+OP12 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_SPACED.format(_LOWER)} AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+l AS (SELECT a, b FROM p JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
 OP13 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(_LOWER)} AS w FROM documents),
 b AS (SELECT row_number() OVER () AS q, item_id, {_TERMS.format(_LOWER)} AS w FROM benchmark),
@@ -86,4 +120,4 @@ o AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o JOIN b USING (q) WHERE rank <= 10
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_license_scans": _op2(), "op8_decontamination": OP8, "op13_lexical_search": OP13}
+ORACLES = {"op1_quality_rules": OP1, "op2_license_scans": _op2(), "op8_decontamination": OP8, "op11_collocations": OP11, "op12_setsketch_dedup": OP12, "op13_lexical_search": OP13}
