@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,17 +22,40 @@ _SYMBOL = re.compile("(" + "|".join(re.escape(s) for s in USER_SYMBOLS) + ")")
 _SEGMENT = re.compile(f"{WORD_MARK}*[^{WORD_MARK}]+|{WORD_MARK}+")
 
 
+def _merged_parts(segment: str, ids: dict[str, int]) -> list[str]:
+    """Join the leftmost pair of lowest id until none is known.
+
+    Pairs wait in a heap; joining two parts adds at most two pairs, so a segment
+    of any length takes a few steps per character.
+    """
+    parts: list[str | None] = list(segment)
+    after = list(range(1, len(parts) + 1))
+    before = list(range(-1, len(parts) - 1))
+    heap = [(ids[a + b], i) for i, (a, b) in enumerate(zip(segment, segment[1:])) if a + b in ids]
+    heapify(heap)
+    while heap:
+        number, at = heappop(heap)
+        right = after[at]
+        # the entry is stale if one of its sides has been joined to something else
+        if parts[at] is None or right >= len(parts) or ids.get(parts[at] + parts[right]) != number:
+            continue
+        parts[at] += parts[right]
+        parts[right] = None
+        after[at] = after[right]
+        if after[at] < len(parts):
+            before[after[at]] = at
+        for left in (before[at], at):
+            if left >= 0 and after[left] < len(parts):
+                number = ids.get(parts[left] + parts[after[left]])
+                if number is not None:
+                    heappush(heap, (number, left))
+    return [part for part in parts if part is not None]
+
+
 def merge_segment(segment: str, ids: dict[str, int]) -> list[int]:
-    """Ids of one segment: join the leftmost pair of lowest id until none is known."""
-    parts = list(segment)
-    while len(parts) > 1:
-        ranked = [(ids[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ids]
-        if not ranked:
-            break
-        _, at = min(ranked)
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    """Ids of one segment; characters without a piece become byte ids."""
     out: list[int] = []
-    for part in parts:
+    for part in _merged_parts(segment, ids):
         known = ids.get(part)
         if known is None:
             out.extend(FIRST_BYTE_ID + byte for byte in part.encode("utf-8", errors="replace"))
@@ -82,7 +108,11 @@ def bpe_encoder(vocab: DataFrame) -> Callable[[Column], Column]:
     def encode(text: pa.Array) -> pa.Array:
         if not encoders:
             encoders.append(text_encoder(shared.value))
-        return pa.array([encoders[0](t or "") for t in text.to_pylist()], pa.list_(pa.int32()))
+        ids, ends = array("i"), [0]
+        for t in text.to_pylist():
+            ids.extend(encoders[0](t or ""))
+            ends.append(len(ids))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
 
     return lambda text: encode(text)
 

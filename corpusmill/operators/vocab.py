@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Container
+import time
+from collections.abc import Callable, Container
 from dataclasses import dataclass
 
 import numpy as np
@@ -177,27 +178,44 @@ class PairTable:
     A pair that is not here occurs at most ``bound`` times, so the order of all
     pairs above the bound is known.  Counts of pairs of old symbols only fall;
     where a merge makes a symbol that exists already, the bound rises instead.
+    If more pairs than the limit lead with equal counts, the first of them by
+    spelling are fetched, and the order is known up to the last of these.
     """
 
     def __init__(self, pieces: list[str], limit: int = TOP_PAIRS):
         self.pieces, self.limit, self.bound = pieces, limit, 0
         self.counts: dict[int, int] = {}
+        self.last: tuple[str, str] | None = None
 
     def fetch(self, pairs: DataFrame) -> None:
         rows = pairs.orderBy(F.desc("n")).limit(self.limit + 1).toArrow()
         found = dict(zip(rows["pair"].to_pylist(), rows["n"].to_pylist()))
-        self.bound = min(found.values()) if len(found) > self.limit else 0
+        self.bound, self.last = min(found.values()) if len(found) > self.limit else 0, None
         self.counts = {code: n for code, n in found.items() if n > self.bound}
+        if found and not self.counts:
+            self._fetch_ties(pairs.where(F.col("n") == self.bound))
+
+    def _fetch_ties(self, ties: DataFrame) -> None:
+        names = F.broadcast(ties.sparkSession.createDataFrame(list(enumerate(self.pieces)), "number long, piece string"))
+        left, right = (names.select(F.col("number").alias(f"_{c}"), F.col("piece").alias(c)) for c in ("left", "right"))
+        spelled = ties.join(left, F.shiftright("pair", SHIFT) == F.col("_left")).join(right, F.col("pair").bitwiseAND(MASK) == F.col("_right"))
+        first = spelled.orderBy(F.concat("left", "right"), "left").limit(self.limit).select("pair").toArrow()["pair"].to_pylist()
+        self.counts = dict.fromkeys(first, self.bound)
+        last = self.pair(first[-1])
+        self.last = (last.piece, last.left)
 
     def pair(self, code: int) -> Pair:
         return Pair(self.pieces[code >> SHIFT], self.pieces[code & MASK], self.counts[code])
 
+    def _is_settled(self, pair: Pair) -> bool:
+        return pair.n > self.bound or (pair.n == self.bound and self.last is not None and (pair.piece, pair.left) <= self.last)
+
     def top(self, least: int) -> list[Pair]:
         """At least so many of the most frequent pairs, if there are, with all pairs of equal count, in order."""
         codes = np.fromiter(self.counts, np.int64, len(self.counts))
         n = np.fromiter(self.counts.values(), np.int64, len(self.counts))
-        lowest = max(self.bound + 1, int(np.partition(n, -least)[-least]) if len(n) > least else 1)
-        chosen = [self.pair(int(code)) for code in codes[n >= lowest]]
+        lowest = max(self.bound, 1, int(np.partition(n, -least)[-least]) if len(n) > least else 1)
+        chosen = [p for p in (self.pair(int(code)) for code in codes[n >= lowest]) if self._is_settled(p)]
         return sorted(chosen, key=lambda p: (-p.n, p.piece, p.left))
 
     def watched(self, batch: list[tuple[int, int, int]]) -> np.ndarray:
@@ -216,17 +234,17 @@ class PairTable:
                 if self.counts[code] <= 0:
                     del self.counts[code]
             elif not self.bound or code >> SHIFT in fresh or code & MASK in fresh:
-                if n > self.bound:
+                if n >= max(self.bound, 1):
                     self.counts[code] = n
             else:
                 rise = max(rise, n)
-        self.bound += rise
-
-    def spent(self) -> bool:
-        return bool(self.bound) and max(self.counts.values(), default=0) <= self.bound
+        if rise:
+            self.bound, self.last = self.bound + rise, None
 
 
-def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: bool = False) -> list[str]:
+def train_bpe(
+    words: DataFrame, chars: list[str], n_merges: int, one_by_one: bool = False, on_round: Callable[[float], None] | None = None
+) -> list[str]:
     """The first ``n_merges`` merged pieces, in merge order.
 
     ``words`` are counted segments (word, n).  The words stay distributed as
@@ -234,7 +252,8 @@ def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: boo
     this changes in the pair counts.  The driver holds the pieces and a table of
     the most frequent pairs, at most ``TOP_PAIRS`` and the pairs of pieces made since.
     A round reads the chunks of the round before from the cache, and what is
-    lost of them is rebuilt from the last checkpoint.
+    lost of them is rebuilt from the last checkpoint.  ``on_round`` gets the
+    seconds of each round.
     """
     chars = [ch for ch in dict.fromkeys(chars) if ch not in (OPEN, CLOSE)]
     pieces = ["", *chars]
@@ -249,12 +268,15 @@ def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: boo
     older: DataFrame | None = None
     rounds = 0
     while len(merged) < n_merges:
-        if table.spent():
-            table.fetch(all_pairs(state))
+        began = time.perf_counter()
         top = table.top(1 if one_by_one else BATCH_PAIRS)
+        if not top and table.bound:
+            table.fetch(all_pairs(state))
+            top = table.top(1 if one_by_one else BATCH_PAIRS)
         if not top:
             break
-        batch = top[:1] if one_by_one else safe_batch(top, numbers, False)
+        # pairs that are not known may be as frequent as the last ones here
+        batch = top[:1] if one_by_one else safe_batch(top, numbers, top[-1].n == table.bound)
         todo, fresh = [], set()
         for pair in batch:
             if pair.piece not in numbers:
@@ -266,7 +288,7 @@ def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: boo
                 merged.append(pair.piece)
             todo.append((numbers[pair.left], numbers[pair.right], numbers[pair.piece]))
         after = merge_round(state, todo, table.watched(todo)).persist()
-        table.update(changes(after).where((F.col("n") < 0) | (F.col("n") > table.bound) | F.lit(not fresh)).toArrow(), fresh)
+        table.update(changes(after).where((F.col("n") < 0) | (F.col("n") >= table.bound) | F.lit(not fresh)).toArrow(), fresh)
         if older is not None:
             older.unpersist()
         older, state = after, after
@@ -275,6 +297,8 @@ def train_bpe(words: DataFrame, chars: list[str], n_merges: int, one_by_one: boo
             state = cut_lineage(chunks_of(after))
             after.unpersist()
             older = None
+        if on_round:
+            on_round(time.perf_counter() - began)
     if older is not None:
         older.unpersist()
     return merged[:n_merges]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from corpusmill.functions import minhash as mh
 from corpusmill.functions.segments import symbol_pattern, training_pattern
-from corpusmill.functions.text import EOS_ID, FIRST_BYTE_ID, FIRST_MERGE_ID
+from corpusmill.functions.text import CONTROL_PIECES, EOS_ID, FIRST_BYTE_ID, FIRST_MERGE_ID, USER_SYMBOLS
 from corpusmill.plans import catalog as c
 
 _DOCS = "docs AS (SELECT lang AS source, doc_id, text FROM documents WHERE text IS NOT NULL AND text <> '')"
@@ -104,6 +104,62 @@ ordered AS (SELECT ch, n, sum(n) OVER (ORDER BY n DESC, ch) - n AS before, sum(n
   (row_number() OVER (ORDER BY n DESC, ch) - 1)::BIGINT AS rank FROM counted),
 covered AS (SELECT ch, n, rank FROM ordered WHERE before / everything < {c.COVERAGE})"""
 
+# --- byte-pair training and encoding, one merge at a time ---
+# A word is its symbols between chr(1) and chr(2); a merge is kept under a negative id.
+_TRAINING = f"""
+alphabet AS MATERIALIZED (SELECT ch, row_number() OVER (ORDER BY rank) - 1 AS place FROM covered WHERE ch NOT IN (chr(1), chr(2))),
+letters AS (SELECT word, n, i, ch, ch IN (SELECT ch FROM alphabet) AS known
+  FROM (SELECT word, n, unnest(regexp_extract_all(word, '(?s).')) AS ch, unnest(range(length(word))) AS i FROM words)),
+numbered_runs AS (SELECT *, sum(CASE WHEN known THEN 0 ELSE 1 END) OVER (PARTITION BY word ORDER BY i) AS run FROM letters),
+runs AS (SELECT string_agg(chr(1) || ch || chr(2), '' ORDER BY i) AS s, any_value(n) AS n FROM numbered_runs WHERE known GROUP BY word, run),
+distinct_runs AS MATERIALIZED (SELECT row_number() OVER () AS id, s, sum(n)::BIGINT AS n FROM runs GROUP BY s),
+size AS (SELECT {c.VOCAB_SIZE - FIRST_MERGE_ID} - count(*) AS n FROM alphabet),
+training(id, s, n) USING KEY (id) AS (
+  SELECT id, s, n FROM distinct_runs
+  UNION
+  (WITH w AS (SELECT n, string_split(s[2:-2], chr(2) || chr(1)) AS p FROM recurring.training WHERE id > 0),
+  best AS (SELECT l, r FROM (SELECT n, p[i] AS l, p[i + 1] AS r FROM (SELECT n, p, unnest(range(1, len(p))) AS i FROM w))
+    GROUP BY l, r ORDER BY sum(n) DESC, l || r, l LIMIT 1),
+  so_far AS (SELECT count(*) AS steps, count(DISTINCT s) AS pieces FROM recurring.training WHERE id < 0),
+  todo AS (SELECT l || r AS piece, steps, chr(1) || l || chr(2) || chr(1) || r || chr(2) AS apart FROM best, so_far
+    WHERE pieces < (SELECT n FROM size))
+  SELECT id, replace(s, apart, chr(1) || piece || chr(2)), n FROM recurring.training, todo WHERE id > 0 AND contains(s, apart)
+  UNION ALL SELECT -1 - steps, piece, 0 FROM todo)),
+merges AS MATERIALIZED (SELECT piece, row_number() OVER (ORDER BY step) - 1 AS rank
+  FROM (SELECT s AS piece, min(-id) AS step FROM training WHERE id < 0 GROUP BY s)),
+vocab AS MATERIALIZED (
+  SELECT ({FIRST_MERGE_ID} + rank)::INTEGER AS id, piece, (-rank)::INTEGER AS score, 'merge' AS kind FROM merges
+  UNION ALL SELECT ({FIRST_MERGE_ID} + m + place)::INTEGER, ch, (-m - place)::INTEGER, 'char' FROM alphabet, (SELECT count(*) AS m FROM merges))"""
+_BPE = ("RECURSIVE " + _DOCS, _LINES, _WORDS, _CHARS, _TRAINING)
+_HEAD = " UNION ALL ".join(
+    [f"SELECT {i} AS id, '{piece}' AS piece, 0 AS score, 'control' AS kind" for i, piece in enumerate(CONTROL_PIECES)]
+    + [f"SELECT {i}, '{piece}', 0, 'user'" for i, piece in enumerate(USER_SYMBOLS, start=len(CONTROL_PIECES))]
+    + [f"SELECT ({FIRST_BYTE_ID} + b)::INTEGER, format('<0x{{:02X}}>', b), 0, 'byte' FROM (SELECT unnest(range(256)) AS b)"]
+)
+_VOCAB = f"SELECT id, piece, score, kind FROM vocab UNION ALL {_HEAD}"
+# Every distinct segment by itself: the leftmost pair of lowest id, again and again.
+_ENCODED = f"""
+parts AS (SELECT source, doc_id, unnest(ps) AS part, unnest(range(len(ps))) AS i FROM (SELECT source, doc_id,
+  string_split(regexp_replace('▁' || replace(text, ' ', '▁'), '({symbol_pattern()})', chr(1) || '\\1' || chr(1), 'g'), chr(1)) AS ps FROM docs)),
+pieces AS MATERIALIZED (SELECT source, doc_id, i, unnest(ss) AS seg, unnest(range(len(ss))) AS j FROM (SELECT source, doc_id, i,
+  CASE WHEN part IN {USER_SYMBOLS} THEN [part] ELSE regexp_extract_all(part, '▁*[^▁]+|▁+') END AS ss FROM parts)),
+merging(seg, p, step) AS (
+  SELECT seg, CASE WHEN seg IN {USER_SYMBOLS} THEN [seg] ELSE regexp_extract_all(seg, '(?s).') END, 0 FROM (SELECT DISTINCT seg FROM pieces)
+  UNION ALL
+  SELECT seg, p[:k - 1] || [p[k] || p[k + 1]] || p[k + 2:], step + 1 FROM
+    (SELECT seg, p, step, k, row_number() OVER (PARTITION BY seg ORDER BY id, k) AS choice FROM
+      (SELECT seg, p, step, unnest(range(1, len(p))) AS k FROM merging) JOIN vocab ON piece = p[k] || p[k + 1]) WHERE choice = 1),
+ended AS (SELECT seg, arg_max(p, step) AS p FROM merging GROUP BY seg),
+symbols(piece, id) AS (VALUES {", ".join(f"('{piece}', {i})" for i, piece in enumerate(USER_SYMBOLS, start=len(CONTROL_PIECES)))}),
+coded AS MATERIALIZED (SELECT seg, flatten(list(CASE WHEN coalesce(s.id, v.id) IS NOT NULL THEN [coalesce(s.id, v.id)]
+    ELSE list_transform(regexp_extract_all(hex(encode(e.part)), '..'), lambda h: ('0x' || h)::INTEGER + {FIRST_BYTE_ID}) END ORDER BY k)) AS ids
+  FROM (SELECT seg, unnest(p) AS part, unnest(range(len(p))) AS k FROM ended) e
+  LEFT JOIN symbols s ON s.piece = e.part LEFT JOIN vocab v ON v.piece = e.part GROUP BY seg),
+encoded AS MATERIALIZED (SELECT source, doc_id, flatten(list(ids ORDER BY i, j)) AS ids FROM pieces JOIN coded USING (seg) GROUP BY ALL)"""
+_ENCODED_TOKENS = f"""
+bpe_placed AS (SELECT *, (sum(len(ids) + 1) OVER (PARTITION BY source ORDER BY doc_id) - len(ids) - 1)::BIGINT AS start FROM encoded),
+toks AS (SELECT source, start + unnest(range(len(ids) + 1)) AS pos, unnest(list_append(ids, {EOS_ID})) AS tok FROM bpe_placed)"""
+
 # --- evaluation ---
 _TRAIN = f"train_docs AS (SELECT * FROM docs WHERE NOT ({_HELD_OUT}))"
 _EVAL = f"eval_docs AS (SELECT * FROM docs WHERE {_HELD_OUT})"
@@ -266,6 +322,13 @@ WHERE cs[i] IN (SELECT ch FROM covered) AND cs[i + 1] IN (SELECT ch FROM covered
 SELECT cs[i] AS left, cs[i + 1] AS right, sum(n)::BIGINT AS n FROM places
 WHERE cs[i] IN (SELECT ch FROM covered) AND cs[i + 1] IN (SELECT ch FROM covered) GROUP BY ALL
 ORDER BY n DESC, "left" || "right", "left" LIMIT {c.BEST_PAIRS}""",
+    "train_bpe": _with(*_BPE) + "SELECT rank::INTEGER AS rank, piece FROM merges",
+    "vocab_table": _with(*_BPE) + _VOCAB,
+    "vocab_file": _with(*_BPE) + _VOCAB,
+    "bpe_encode": _with(*_BPE, _ENCODED)
+    + "SELECT source, doc_id, len(ids)::INTEGER AS n_tokens, array_to_string(ids, ',') AS tokens FROM encoded",
+    "bpe_blocks": _with(*_BPE, _ENCODED, _ENCODED_TOKENS, _blocks(c.FEED_BLOCK), _numbered(c.FEED_BLOCK))
+    + "SELECT source, 'train' AS split, shard_id, block_in_shard, tokens FROM numbered",
     "bpe_roundtrip": _with(_DOCS) + "SELECT doc_id, text FROM docs",
     "tokenizer_stats": _with(_DOCS)
     + """

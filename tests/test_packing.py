@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators.batches import batch_windows, epoch_order, next_token_labels
-from corpusmill.operators.offsets import keep_heads, running_start
+from corpusmill.operators.offsets import keep_heads, range_bits, running_start
 from corpusmill.operators.packing import capped_blocks, pack_blocks
-from corpusmill.operators.shards import chop_blocks, shard_index, shard_table
+from corpusmill.operators.shards import chop_blocks, shard_counts, shard_index, shard_table
 
 DOC = "source string, doc_id bigint, tokens array<int>"
 
@@ -122,3 +122,78 @@ def test_heads_stop_at_the_range_that_reaches_the_limit(spark):
     kept = keep_heads(df, "s", "k", F.lit(1), F.when(F.col("s") == "a", 3).otherwise(10), bits=(2, 2))
     ends = {r["s"]: r["last"] for r in kept.groupBy("s").agg(F.max("k").alias("last")).collect()}
     assert ends == {"a": 2, "b": 15}  # the end of the range of the last row needed
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+KEYS = {
+    "hashed": lambda n: [random.Random(i).getrandbits(64) - 2**63 for i in range(n)],
+    "dense": lambda n: list(range(-7, n - 7)),
+    "both": lambda n: list(range(n - 50)) + [2**62 + i * 2**40 for i in range(50)],
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_ranges_are_bounded_for_any_keys(spark, kind):
+    keys = sorted(set(KEYS[kind](3000)))
+    rows = spark.createDataFrame([("a" if i % 3 else "b", k, i % 5) for i, k in enumerate(keys)], "s string, k bigint, n bigint")
+    bits = range_bits(rows, ["s"], "k", most=100)
+    assert sum(bits) <= 63 and all(b <= 16 for b in bits[1:])
+    span = max(keys) - min(keys)
+    assert span / 2.0 ** sum(bits) < 2**16
+    fullest = rows.groupBy("s", F.shiftright("k", bits[0])).count().agg(F.max("count")).first()[0]
+    assert fullest <= 100
+    got = {(r["s"], r["k"]): r["start"] for r in running_start(rows, ["s"], "k", "n", bits).collect()}
+    total = {"a": 0, "b": 0}
+    for i, k in enumerate(keys):
+        source = "a" if i % 3 else "b"
+        assert got[source, k] == total[source]
+        total[source] += i % 5
+
+
+@pytest.mark.parametrize(("key", "message"), [(3, "repeated order key"), (None, "null in the order key")])
+def test_bad_order_keys_are_refused(spark, key, message):
+    rows = spark.createDataFrame([("a", 3, 1), ("a", key, 1), ("a", 9, 1)], "source string, doc_id bigint, n_tokens int")
+    with pytest.raises(Exception, match=message):
+        running_start(rows, ["source"], "doc_id", "n_tokens").collect()
+    if key is None:
+        with pytest.raises(Exception, match=message):
+            keep_heads(rows, "source", "doc_id", "n_tokens", 2).collect()
+
+
+def test_epoch_and_batches_move_tokens_once(spark):
+    rows = [("web", s, b, list(range(64))) for s in range(3) for b in range(4)]
+    blocks = spark.createDataFrame(rows, "source string, shard_id bigint, block_in_shard bigint, tokens array<int>")
+    order = epoch_order(shard_table(blocks, 64).withColumn("copy", F.lit(1)), epoch=0, seed=1)
+    lines = plan(order).splitlines()
+    single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    # only the range totals, at most 4,096 rows, meet in one task
+    assert len(single) <= 1 and all("HashAggregate" in lines[i + 1] and "rng" in lines[i + 1] for i in single)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tree = plan(batch_windows(blocks, cut(order), 64, seq_len=8, micro_batch=2))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [line for line in tree.splitlines() if "Exchange hashpartitioning" in line]
+    # by shard once, where the order joins; then only windows across shards move, by their number
+    assert sum("shard_id" in line for line in exchanges if "Reused" not in line) <= 3
+    assert sum("window_id" in line for line in exchanges) == 1
+
+
+def cut(df):
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def test_shard_counts_follow_from_totals(spark):
+    rng = random.Random(4)
+    for block, shard, cap in [(4, 10, None), (7, 7, 30), (9, 5, None), (3, 100, 50), (50, 60, None)]:
+        docs = [(s, i, [1] * rng.randrange(0, 30)) for s, n in (("a", 25), ("b", 3), ("c", 0)) for i in range(n)] + [("d", 0, [])]
+        df = spark.createDataFrame(docs, DOC).withColumn("n_tokens", F.size("tokens"))
+        want = shard_table(shard_index(pack_blocks(df, block, max_tokens=cap), block, shard), block)
+        got = shard_counts(df, block, shard, cap)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert "collect_list" not in plan(got)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusmill.config import STAGE_A_WEIGHTS, STAGE_B_WEIGHTS
 from corpusmill.operators import mix
 from corpusmill.operators.sampling import byte_budget_prefix
+from corpusmill.plans.corpus import byte_blocks
 from corpusmill.sources import registry, token_shards
 from corpusmill.sources.token_shards import list_shards, read_token_shards, write_token_shards
 
@@ -138,3 +139,39 @@ def test_repeated_attempt_counts_once(tmp_path):
         again = token_shards.TokenShardWriter({"path": str(tmp_path / "b")})
         again.commit([again.write(iter(rows)), again.write(iter(rows))])
     assert not list((tmp_path / "b").rglob("*.bin"))
+
+
+def test_sources_without_integer_ids_are_numbered(spark, tmp_path):
+    for name, lines in {"b.txt": ["third", "", "fifth"], "a.txt": ["first", "second"]}.items():
+        (tmp_path / "text").mkdir(exist_ok=True)
+        (tmp_path / "text" / name).write_text("\n".join(lines) + "\n")
+    specs = {
+        "lines": registry.SourceSpec(str(tmp_path / "text"), "text", "value", None),
+        "named": registry.SourceSpec(str(tmp_path / "json"), "json", "body", "doc_id", "body <> 'one'", "doc_id string, body string"),
+    }
+    got = [(r["doc_id"], r["text"]) for r in registry.scan_source(spark, specs, "lines").orderBy("doc_id").collect()]
+    assert got == [(0, "first"), (1, "second"), (2, "third"), (4, "fifth")]
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json/x.json").write_text("".join(json.dumps({"doc_id": f"k{i}", "body": t}) + "\n" for i, t in enumerate(["zero", "one", "two"])))
+    got = [(r["source"], r["doc_id"], r["text"]) for r in registry.scan_source(spark, specs, "named").orderBy("doc_id").collect()]
+    assert got == [("named", 0, "zero"), ("named", 2, "two")]
+    packed = byte_blocks(registry.scan_source(spark, specs, "lines"), 4)
+    assert packed.count() == (len("firstsecondthirdfifth") + 4) // 4
+
+
+def test_numbers_do_not_depend_on_splits(spark, tmp_path):
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one/a.txt").write_text("".join(f"line {i}\n" for i in range(5000)))
+    spec = {"x": registry.SourceSpec(str(tmp_path / "one"), "text", "value", None)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        rows = registry.scan_source(spark, spec, "x").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r["doc_id"]: r["text"] for r in rows} == {i: f"line {i}" for i in range(5000)}
+
+
+def test_repeated_labels_repeat_no_rows(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 2), (2, 0), (1, 1)], "doc_id bigint, quality int")
+    assert [tuple(r) for r in registry.quality_filter(docs, labels, 1).collect()] == [(1, "a", 2)]

@@ -7,10 +7,10 @@ from corpusmill.operators import dedup
 from corpusmill.operators.packing import capped_blocks
 from corpusmill.plans.corpus import byte_blocks
 from corpusmill.sources.registry import SourceSpec
-from corpusmill.streaming.dedup import FLAGS, DedupStream
+from corpusmill.streaming.dedup import FLAGS, DedupStream, merged_runs
 from corpusmill.streaming.metrics import live_metrics, windowed_metrics
 from corpusmill.streaming.pack import PackStream
-from corpusmill.streaming.scan import run_batches, stream_source
+from corpusmill.streaming.scan import run_batches, run_to_end, stream_source
 
 SCHEMA = "source string, doc_id bigint, text string"
 
@@ -90,3 +90,53 @@ def test_live_metrics(spark, tmp_path):
     writer.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "b")).start().awaitTermination()
     closed = {r["window_start"]: r["n_steps"] for r in spark.table("windows").collect()}
     assert closed and set(closed.values()) == {5}
+
+
+def test_runs_are_joined_like_a_counter():
+    runs, written = [], 0
+    for batch_id in range(200):
+        runs, joined = merged_runs(runs, batch_id)
+        written += 1 + sum(last - first + 1 for first, last in joined)
+        assert len(runs) <= batch_id.bit_length() + 1
+        assert [i for first, last in runs for i in range(first, last + 1)] == list(range(batch_id + 1))
+    assert written <= 200 * 9
+
+
+def test_stream_dedup_state_is_small_and_repeatable(spark, tmp_path):
+    """Eight batches, one of them run twice: as the batch result; runs that were joined are gone."""
+    rng = random.Random(12)
+    base = [[rng.randrange(200) for _ in range(60)] for _ in range(12)]
+    blocks = [(i, list(rng.choice(base))) for i in range(40)]
+    schema = "ord bigint, tokens array<int>"
+    handler = DedupStream(str(tmp_path / "out"), buckets=4)
+    for batch_id in (0, 1, 2, 3, 3, 4, 5, 6, 7):
+        handler(spark.createDataFrame(blocks[batch_id * 5 : batch_id * 5 + 5], schema), batch_id)
+        assert len(list((tmp_path / "out/kept").iterdir())) <= 5
+    assert handler.runs_before(spark, 8) == [(0, 7)]
+    got = {r["ord"] for r in spark.read.schema(FLAGS).parquet(f"{handler.root}/flags/*").collect()}
+    assert got == {r["ord"] for r in dedup.dedup_flags(dedup.sketch_blocks(spark.createDataFrame(blocks, schema))).collect()}
+
+
+def test_stream_ends_itself_at_the_cap(spark, tmp_path):
+    """The second batch reaches the cap; of any later one no row is read."""
+    rows, folder = [("a", i, "x" * 20) for i in range(40)], str(tmp_path / "in")
+    arrivals(spark, rows, SCHEMA, folder, 8)
+    root = str(tmp_path / "out")
+    seen = []
+    handler = PackStream(root, 16, max_tokens=100, sources=["a"])
+
+    class Watched:
+        finished = property(lambda self: handler.finished)
+
+        def __call__(self, batch, batch_id):
+            seen.append((batch_id, handler.finished))
+            handler(batch, batch_id)
+
+    docs = stream_source(spark, SourceSpec(folder, schema=SCHEMA), source_field="source", max_files=1)
+    run_to_end(docs, Watched(), f"{root}/log")
+    assert handler.finished and seen[0] == (0, False) and sum(not done for _, done in seen) == 2
+    got = spark.read.parquet(f"{root}/blocks")
+    assert got.count() == capped_blocks(100, 16)
+    before = len(seen)
+    handler(spark.createDataFrame(rows, SCHEMA).select("source", "doc_id", F.raise_error(F.lit("read")).alias("text")), before)
+    assert spark.read.parquet(f"{root}/blocks").count() == capped_blocks(100, 16)
