@@ -361,7 +361,8 @@ def eval_limit(spark, sf_dir):
 
 
 def bigram_perplexity(spark, sf_dir):
-    train = evaluate.bigram_counts(_split_blocks(spark, sf_dir, "train"))
+    # read twice below: as pairs and as totals of their first token
+    train = materialize(evaluate.bigram_counts(_split_blocks(spark, sf_dir, "train")), "bigram-counts")
     rows = _split_blocks(spark, sf_dir, "eval")
     scores = evaluate.bigram_scores(train, evaluate.bigram_counts(rows, ["source"]), FIRST_MERGE_ID, SMOOTHING)
     return evaluate.perplexity(scores, ["source"]).select(

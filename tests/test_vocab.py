@@ -148,3 +148,9 @@ def test_encoding_equals_sentencepiece(spark, docs):
     theirs = [p for i, p in pieces if i >= 262 and len(p) > 1]
     ours = vocab.train_bpe(vocab.word_counts(docs), chars, len(theirs))
     assert len(set(ours[:30]) & set(theirs[:30])) >= 27
+
+
+def test_every_script_is_a_run_of_its_own(spark):
+    docs = spark.createDataFrame([(1, "ខ្មែរ! ગુજરાતી, abc日本のテキスト12«ру»")], "doc_id bigint, text string")
+    words = {r["word"]: r["n"] for r in vocab.word_counts(docs).collect()}
+    assert words == dict.fromkeys(["▁ខ្មែរ", "!", "▁ગુજરાતી", ",", "▁abc", "日本のテキスト", "1", "2", "«", "ру", "»"], 1)
