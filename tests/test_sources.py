@@ -4,13 +4,16 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.config import STAGE_A_WEIGHTS, STAGE_B_WEIGHTS
 from corpusmill.operators import mix
 from corpusmill.operators.sampling import byte_budget_prefix
 from corpusmill.plans.corpus import byte_blocks
 from corpusmill.sources import registry, token_shards
 from corpusmill.sources.token_shards import list_shards, read_token_shards, write_token_shards
 
+# --- fixed values: the published source weights -------------------------------
+STAGE_A_WEIGHTS = {"web": 0.60, "qa": 0.20, "math": 0.10, "synthetic": 0.10}
+STAGE_B_WEIGHTS = {"web": 0.40, "synthetic": 0.30, "math": 0.20, "qa": 0.10}
+# ----------------------------------------------------------------------------
 BLOCK = "source string, split string, shard_id bigint, block_in_shard bigint, tokens array<int>"
 
 
