@@ -7,7 +7,7 @@ from collections.abc import Callable, Container
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.segments import line_segments, training_lines
