@@ -7,7 +7,7 @@ Two sets that link share at least ``k`` keys, the smaller ``k`` of the two.
 1. Every class meets one hub, the holder of one of its keys that shares most
    keys with others, as the text does that a family of copies stems from.  The
    exact check of these pairs, one per class, joins nearly all that belongs
-   together; a second round does the same for what lies apart in its keys.
+   together; a second round does the same for what lies apart from the hub.
 2. Of classes in keys whose holders are still in several components, only
    shingles that stand in two components can be shared across them.  With u of
    them, a class of n links at most with sizes up to u (100 + p) / p - n, and if
@@ -15,8 +15,10 @@ Two sets that link share at least ``k`` keys, the smaller ``k`` of the two.
    that differ too much from all others never meet each other.
 3. The rest meets by key and band of size, a pair at the first key it shares.
    With ``rest`` elements of a set beyond its keys, the shared keys and the
-   larger ``rest`` bound what two sets can share; pairs that may reach the
-   threshold are checked exactly.
+   larger ``rest`` bound what two sets can share.  One less the similarity is a
+   distance, so of two classes that have met the same hub at distances x and y
+   the distance is at least |x - y|.  Pairs that may reach the threshold are
+   checked exactly.
 
 Nothing is cut: a pair is left out only if it cannot link, or if its two sides
 are in one component already.
@@ -35,22 +37,51 @@ from corpusmill.session import cut_lineage, materialize
 
 HUB_ROUNDS = 2
 #: bands of size grow by this factor
-SIZE_STEP = 1.06
+SIZE_STEP = 1.2
 
 
 def sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
+def _both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with all columns of both sets, named with the side."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in sets.columns if c != "node"]), side)
+    return pairs
+
+
+def _reaches(shared: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    return 100 * shared >= percent * (n_a + n_b - shared)
+
+
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (a, b, similarity) of all pairs, exact."""
+    shared = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("double")
+    similarity = shared / (F.size("shingles_a") + F.size("shingles_b") - shared)
+    sizes = [F.size(f"shingles_{side}").alias(f"n_{side}") for side in ("a", "b")]
+    return cut_lineage(_both(pairs, sets).select("a", "b", shared.alias("shared"), *sizes, similarity.alias("similarity")))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets meet the threshold."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("sa", "sb")).cast("bigint")
-    return cut_lineage(
-        both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-    )
+    """The pairs (a, b) whose sets meet the threshold.
+
+    Two bytes of each shingle go first: what two sets share is at most the tags
+    they share and the shingles that have their tag from another one.  Whole
+    sets move only for pairs that may still reach the threshold.
+    """
+    tag = F.transform("shingles", lambda s: F.shiftright(s, 48).cast("smallint"))
+    tags = sets.select("node", F.size("shingles").cast("bigint").alias("n"), F.array_distinct(tag).alias("tags"))
+    near = _both(pairs, tags)
+    repeated = F.least(F.col("n_a") - F.size("tags_a"), F.col("n_b") - F.size("tags_b"))
+    most = F.size(F.array_intersect("tags_a", "tags_b")) + repeated
+    near = cut_lineage(near.where(_reaches(most, F.col("n_a"), F.col("n_b"), percent)).select("a", "b"))
+    return linked(measured(near, sets), percent)
+
+
+def linked(met: DataFrame, percent: int) -> DataFrame:
+    """The measured pairs (a, b) that meet the threshold, in whole numbers."""
+    return met.where(_reaches(F.col("shared").cast("bigint"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def nodes_of(pairs: DataFrame) -> DataFrame:
@@ -66,6 +97,12 @@ def _placed(shared: DataFrame, joined: DataFrame | None) -> DataFrame:
     return placed.join(apart.where("_low <> _high").select("key"), "key", "left_semi")
 
 
+def beside_hubs(placed: DataFrame) -> DataFrame:
+    """Holders that are not in the component of their key's hub."""
+    hubs = placed.groupBy("key").agg(F.max_by("component", F.struct("degree", "node")).alias("_hub"))
+    return placed.join(hubs, "key").where(F.col("component") != F.col("_hub")).drop("_hub")
+
+
 def hub_pairs(placed: DataFrame, percent: int) -> DataFrame:
     """One pair (a, b) per class: with the hub that fits its size, shares enough keys and has most to share."""
     degree = F.col("degree")
@@ -92,12 +129,23 @@ def _reach(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     return u.select("node", low.alias("low"), high.alias("high")).where("low <= high")
 
 
-def remaining_pairs(placed: DataFrame, reach: DataFrame, percent: int) -> DataFrame:
+def hub_distances(met: DataFrame) -> DataFrame:
+    """Rows (node, hub, distance): the nearest class that each has met and that most have met, itself at 0."""
+    sides = [met.select(F.col(x).alias("node"), F.col(y).alias("hub"), (1 - F.col("similarity")).alias("distance")) for x, y in (("a", "b"), ("b", "a"))]
+    each = sides[0].unionByName(sides[1])
+    meetings = each.groupBy("hub").agg(F.count("*").alias("meetings"))
+    own = meetings.select(F.col("hub").alias("node"), "hub", F.lit(0.0).alias("distance"), "meetings")
+    each = each.join(meetings, "hub").select("node", "hub", "distance", "meetings").unionByName(own)
+    return each.groupBy("node").agg(F.max(F.struct("meetings", "hub", "distance")).alias("h")).select("node", "h.hub", "h.distance")
+
+
+def remaining_pairs(placed: DataFrame, reach: DataFrame, distances: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes in different components that share enough keys and can reach the threshold."""
     band = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(SIZE_STEP)))
     held = placed.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("held"))
-    able = placed.join(reach, "node").join(held, "node")
-    columns = ("node", "n", "k", "rest", "component", "low", "high", "held")
+    able = placed.join(reach, "node").join(held, "node").join(distances, "node", "left")
+    columns = ("node", "n", "k", "rest", "component", "low", "high", "held", "hub", "distance")
+    apart = (F.col("hub") == F.col("hub_b")) & (F.abs(F.col("distance") - F.col("distance_b")) > 1 - percent / 100 + 1e-9)
     side = able.select("key", *columns, F.explode(F.sequence(band(F.col("low")), band(F.col("high")))).alias("band"))
     other = able.select("key", band(F.col("n")).alias("band"), *[F.col(c).alias(f"{c}_b") for c in columns])
     need = F.ceil(F.lit(percent) * (F.col("n") + F.col("n_b")) / F.lit(100 + percent) - 1e-9)
@@ -108,6 +156,7 @@ def remaining_pairs(placed: DataFrame, reach: DataFrame, percent: int) -> DataFr
         (side["key"] == other["key"]) & (side["band"] == other["band"])
         & (F.col("node") > F.col("node_b")) & (F.col("component") != F.col("component_b"))
         & F.col("n_b").between(F.col("low"), F.col("high")) & F.col("n").between(F.col("low_b"), F.col("high_b"))
+        & ~F.coalesce(apart, F.lit(False))
         & (F.size(shared) >= least) & (F.get(shared, 0) == side["key"]),
     ).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
 
@@ -123,7 +172,7 @@ def link_holders(
     ``holders``: rows (key, node, n, k, rest); ``rest`` is the number of elements
     after the last one that could be a key in an order common to all sets, n
     where keys are no elements.  ``read_sets`` returns (node, shingles)
-    of given nodes; ``likely`` may drop pairs before their sets are read.
+    of given nodes; ``likely`` may drop pairs of the last step before they are checked.
     """
     counts = holders.groupBy("key").agg(F.count("*").alias("holders"), F.min("k").alias("least_k")).where("holders > 1")
     shared = holders.join(counts, "key").withColumn("least_k", F.least("k", "least_k"))
@@ -132,18 +181,23 @@ def link_holders(
     degree = degree.where(F.col("keys") >= F.col("_k")).select("node", "degree")
     shared = materialize(shared.drop("holders").join(degree, "node"), "shared-keys")
     links: list[DataFrame] = []
+    met: list[DataFrame] = []
     joined = None
-    for _ in range(HUB_ROUNDS):
-        pairs = cut_lineage(likely(hub_pairs(_placed(shared, joined), percent)))
+    for turn in range(HUB_ROUNDS):
+        placed = _placed(shared, joined)
+        pairs = cut_lineage(hub_pairs(beside_hubs(placed) if turn else placed, percent))
         if pairs.isEmpty():
             break
-        links.append(verified(pairs, read_sets(nodes_of(pairs)), percent))
+        met.append(measured(pairs, read_sets(nodes_of(pairs))))
+        links.append(linked(met[-1], percent))
         joined = connected_components(reduce(DataFrame.unionByName, links))
     placed = cut_lineage(_placed(shared, joined))
     enough = placed.groupBy("node").agg(F.count("*").alias("_keys"), F.min("least_k").alias("_k")).where(F.col("_keys") >= F.col("_k"))
     placed = placed.join(enough.select("node"), "node", "left_semi")
     sets = read_sets(placed.select("node").distinct())
-    pairs = cut_lineage(likely(remaining_pairs(placed, _reach(sets, placed, percent), percent)))
+    none = placed.sparkSession.createDataFrame([], "node binary, hub binary, distance double")
+    distances = hub_distances(reduce(DataFrame.unionByName, met)) if met else none
+    pairs = cut_lineage(likely(remaining_pairs(placed, _reach(sets, placed, percent), distances, percent)))
     return reduce(DataFrame.unionByName, [*links, verified(pairs, sets, percent)])
 
 
