@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.text import in_pieces, whole
+from corpusmill.llm.text import ROW, in_pieces, whole
 
 UNKNOWN = "und"
 #: bounds of the sample: documents, and segments drawn from them
@@ -254,6 +254,11 @@ def predict(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, network: ByteNetwork | None, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents with a language of at least that score, with their own columns."""
-    labelled = docs.withColumn("_p", identify(network)(whole(F.col("text"))))
-    return labelled.where((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= min_score)).select(*docs.columns)
+    """The documents with a language of at least that score, with their own columns.
+
+    Where nothing could be learned (no network), all documents stay.
+    """
+    if network is None:
+        return docs
+    labelled = docs.select(F.struct("*").alias(ROW), identify(network)(whole(F.col("text"))).alias("p"))
+    return labelled.where((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") >= min_score)).select(f"{ROW}.*")

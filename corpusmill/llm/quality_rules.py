@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm.text import SPACE_CHARS, once, space_words, whole
 
 #: rows of the sample on which costs and selectivities are measured
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS, SAMPLE_SEED = 2000, 17
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 
@@ -125,8 +125,9 @@ def production_rules(text: Column | None = None, have: dict[str, Column] | None
 
 
 def rule_order(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
-    """(rule, seconds, share rejected) over a sample, best rejection per second first."""
-    sample = docs.limit(sample_rows).cache()
+    """(rule, seconds, share rejected) over about ``sample_rows`` random rows, best rejection per second first."""
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    sample = docs.sample(share, seed=SAMPLE_SEED).cache()
     try:
         rows = sample.count()
         measured = []
@@ -181,6 +182,10 @@ def quality_report(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame
 
 def keep_good(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
-    rules = production_rules()
-    order = [name for name, _, _ in rule_order(docs.select("text"), rules, sample_rows)]
-    return docs.where(first_failed(rules, order).isNull())
+    order = [name for name, _, _ in rule_order(docs.select("text"), production_rules(), sample_rows)]
+    text = whole(F.col("text"))
+
+    def failed(words: Column) -> Column:
+        return first_failed(production_rules(have={"n_words": words["n"], "n_repeat_words": words["repeat"]}), order)
+
+    return docs.where(once(statistics(text)["words"], failed).isNull())
