@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.text import NON_WORD, ascii_lower, join_rows, row_key, split_words, whole
+from corpusmill.llm.text import NON_WORD, ROW, ascii_lower, join_rows, row_key, split_words, whole, whole_rows
 from corpusmill.session import cut_lineage
 
 WINDOW_WORDS = 10
@@ -55,17 +55,18 @@ class Windows:
         windows = cut_lineage(windows)
         size = windows.agg(
             F.count("*").alias("n"),
-            F.min(F.size("window_words")).alias("shortest"),
+            F.sort_array(F.collect_set(F.least(F.size("window_words"), F.lit(shingle)))).alias("shingles"),
             F.sum(F.octet_length(F.to_json(F.struct("window_words", "item_ids"))) + 64).alias("bytes"),
         ).first()
         self.none = not size["n"]
-        # a shingle longer than a window would miss it
-        self.shingle = min(shingle, size["shortest"] or shingle)
-        self.small = (size["bytes"] or 0) * self.shingle <= BROADCAST_BYTES
-        places = F.sequence(F.lit(0), F.size("window_words") - self.shingle)
-        each = windows.select("*", F.explode(places).alias("offset")).withColumn(
-            "h", shingle_at(F.col("window_words"), F.col("offset"), self.shingle)
-        )
+        self.window = window
+        # windows shorter than a shingle have one of their own length
+        self.sizes = size["shingles"] or [shingle]
+        self.small = (size["bytes"] or 0) * shingle <= BROADCAST_BYTES
+        own = F.least(F.size("window_words"), F.lit(shingle))
+        each = windows.select("*", F.explode(F.sequence(F.lit(0), F.size("window_words") - own)).alias("offset"))
+        h = F.coalesce(*[F.when(own == n, shingle_at(F.col("window_words"), F.col("offset"), n)) for n in self.sizes])
+        each = each.withColumn("h", h)
         known = self.hint(each.select("h").distinct())
         counts = self.shingles(docs).join(known, "h", "left_semi").groupBy("h").agg(F.count("*").alias("n_corpus"))
         rarest = F.min(F.struct(F.coalesce("n_corpus", F.lit(0)).alias("n_corpus"), "h", "offset")).alias("rarest")
@@ -85,8 +86,12 @@ class Windows:
         """A row (h, at) for each place of each document where a shingle stands."""
         words = docs.select(*keep, words_of(F.col("text")).alias("w"))
         placed = words.select(*[c for c in words.columns if c != "w"], "w", F.posexplode("w").alias("at", "_w"))
-        placed = placed.where(F.col("at") <= F.size("w") - self.shingle)
-        return placed.withColumn("h", shingle_at(F.col("w"), F.col("at"), self.shingle)).drop("_w")
+        placed = placed.where(F.col("at") <= F.size("w") - self.sizes[0])
+        hashes = [shingle_at(F.col("w"), F.col("at"), n) for n in self.sizes]
+        if len(hashes) == 1:
+            return placed.withColumn("h", hashes[0]).drop("_w")
+        fits = [F.when(F.col("at") <= F.size("w") - n, h) for n, h in zip(self.sizes, hashes)]
+        return placed.withColumn("h", F.explode(F.array(*fits))).where("h is not null").drop("_w")
 
 
 def find_windows(docs: DataFrame, windows: Windows) -> DataFrame:
@@ -100,7 +105,7 @@ def find_windows(docs: DataFrame, windows: Windows) -> DataFrame:
         near, first = at, start
     else:
         # only the words that a window around this place can cover go along
-        reach = WINDOW_WORDS
+        reach = windows.window
         near = at.withColumn("from", F.greatest(F.col("at") - reach, F.lit(0))).withColumn(
             "w", F.slice("w", F.col("from") + 1, 2 * reach + 1)
         )
@@ -124,21 +129,18 @@ def hits_by_document(found: DataFrame) -> DataFrame:
             (have["n"] + F.greatest(F.lit(0), p["start"] + p["n"] - F.greatest(have["until"], p["start"]))).alias("n"),
         ),
     )["n"]
-    places = found.groupBy("doc_id", "text_md5").agg(F.collect_set(F.struct("start", "n")).alias("places"))
-    items = (
-        found.select("doc_id", "text_md5", F.explode("item_ids").alias("item_id"))
-        .groupBy("doc_id", "text_md5")
-        .agg(F.collect_set("item_id").alias("item_ids"))
+    # one pass: the search above it runs once
+    hits = found.groupBy("doc_id", "text_md5").agg(
+        F.collect_set(F.struct("start", "n")).alias("places"), F.collect_set("item_ids").alias("lists")
     )
-    places = places.select("doc_id", "text_md5", union.cast("bigint").alias("n_hit"))
-    return join_rows(places, items, "left").select(
-        "doc_id", "text_md5", "n_hit", F.coalesce("item_ids", F.array()).alias("item_ids")
+    return hits.select(
+        "doc_id", "text_md5", union.cast("bigint").alias("n_hit"), F.array_distinct(F.flatten("lists")).alias("item_ids")
     )
 
 
-def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """One row per document: (doc_id, text_md5, n_words, n_hit, item_ids)."""
-    windows = Windows(docs, items)
+    windows = Windows(docs, items, window)
     found = cut_lineage(hits_by_document(find_windows(docs, windows)))
     base = docs.select(*row_key(), F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"))
     return join_rows(base, found, "left").select(
@@ -151,5 +153,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any window of an item, with their own columns."""
     windows = Windows(docs, items)
     found = cut_lineage(find_windows(docs, windows).select("doc_id", "text_md5").distinct())
-    keyed = docs.withColumn("text_md5", row_key()[1])
-    return join_rows(keyed, found, "left_anti").select(*docs.columns)
+    return join_rows(whole_rows(docs), found, "left_anti").select(f"{ROW}.*")
