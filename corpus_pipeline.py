@@ -3,6 +3,13 @@
 Each stage is (name, function); a function takes (spark, docs, sf_dir), with
 docs the Parquet that the stage before it wrote, and all but the last return
 the columns of ``documents``.
+
+Defined cases: a null, empty or very short text fails the quality rules and goes
+with the first stage; without any labelled language all documents pass the
+second; of repeated rows one stays, of near duplicates the one with the smallest
+id, then the smaller MD5 of the text; an empty table gives no rows at every
+stage; columns beside those of ``documents`` are dropped by the first stage; long
+texts pass through every stage whole.
 """
 
 from __future__ import annotations
