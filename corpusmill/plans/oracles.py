@@ -318,10 +318,10 @@ SELECT cs[i] AS left, cs[i + 1] AS right, sum(n)::BIGINT AS n FROM places
 WHERE cs[i] IN (SELECT ch FROM covered) AND cs[i + 1] IN (SELECT ch FROM covered) GROUP BY ALL""",
     "best_pairs": _with(_DOCS, _LINES, _WORDS, _CHARS)
     + f"""
-, places AS (SELECT n, regexp_extract_all(word, '(?s).') AS cs, unnest(range(1, length(word))) AS i FROM words)
-SELECT cs[i] AS left, cs[i + 1] AS right, sum(n)::BIGINT AS n FROM places
-WHERE cs[i] IN (SELECT ch FROM covered) AND cs[i + 1] IN (SELECT ch FROM covered) GROUP BY ALL
-ORDER BY n DESC, "left" || "right", "left" LIMIT {c.BEST_PAIRS}""",
+, places AS (SELECT n, regexp_extract_all(word, '(?s).') AS cs, unnest(range(1, length(word))) AS i FROM words),
+pairs AS (SELECT cs[i] AS l, cs[i + 1] AS r, sum(n)::BIGINT AS n FROM places
+  WHERE cs[i] IN (SELECT ch FROM covered) AND cs[i + 1] IN (SELECT ch FROM covered) GROUP BY ALL)
+SELECT l AS left, r AS right, n FROM pairs ORDER BY n DESC, l || r, l LIMIT {c.BEST_PAIRS}""",
     "train_bpe": _with(*_BPE) + "SELECT rank::INTEGER AS rank, piece FROM merges",
     "vocab_table": _with(*_BPE) + _VOCAB,
     "vocab_file": _with(*_BPE) + _VOCAB,
