@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,12 +65,16 @@ def epoch_order(mix: DataFrame, epoch: int, seed: int, range_hex: int = 3) -> Da
     )
 
 
-def batch_windows(blocks: DataFrame, order: DataFrame, block_size: int, seq_len: int, micro_batch: int) -> DataFrame:
+def batch_windows(
+    blocks: DataFrame, order: DataFrame, block_size: int, seq_len: int, micro_batch: int,
+    decode: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """Training rows of one epoch: windows of L·m+1 tokens, one shared token.
 
     Leftover tokens of a shard run on into the next.  A shard copy is a range
     of the stream, so windows inside it are assembled next to its blocks: tokens
-    move once, by shard, and again only at the edges of shards.
+    move once, by shard, and again only at the edges of shards.  With ``decode``
+    the blocks' ``tokens`` are bytes, and ids are made of finished rows.
     """
     step = seq_len * micro_batch
     placed = (
@@ -81,15 +87,14 @@ def batch_windows(blocks: DataFrame, order: DataFrame, block_size: int, seq_len:
         .withColumn("rng_end", F.col("shard_start") + F.col("n_tokens"))
     )
     windows = cut_stream(
-        placed, ["epoch"], F.col("tokens"), "length", step + 1, step=step, placed_by=("source", "shard_id", "rng")
+        placed, ["epoch"], F.col("tokens"), "length", step + 1, step=step, placed_by=("source", "shard_id", "rng"),
+        decode=(lambda tokens: tokens) if decode else None,
     )
     offset = F.col("row") * seq_len
+
+    def part(at: Column) -> Column:
+        return decode(F.substring("tokens", at, F.lit(seq_len))) if decode else F.slice("tokens", at, F.lit(seq_len))
+
     return windows.select(
         "epoch", F.col("window_id").alias("batch_id"), "tokens", F.explode(F.sequence(F.lit(0), F.lit(micro_batch - 1))).alias("row")
-    ).select(
-        "epoch",
-        "batch_id",
-        "row",
-        F.slice("tokens", offset + 1, F.lit(seq_len)).alias("input_ids"),
-        F.slice("tokens", offset + 2, F.lit(seq_len)).alias("labels"),
-    )
+    ).select("epoch", "batch_id", "row", part(offset + 1).alias("input_ids"), part(offset + 2).alias("labels"))
