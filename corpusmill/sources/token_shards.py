@@ -15,14 +15,14 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -35,7 +35,7 @@ from pyspark.sql.datasource import (
 from corpusmill.functions.text import MAX_TOKEN_ID
 
 TOKEN_BYTES = 2
-SPLIT_BYTES = 64 << 20
+SPLIT_BYTES = 16 << 20
 BATCH_TOKENS = 4 << 20
 #: files moved at a time when a write is committed
 MOVERS = 16
@@ -237,14 +237,17 @@ class TokenShardSource(DataSource):
         return TokenShardWriter(self.options)
 
 
-def write_token_shards(blocks: DataFrame, path: str) -> None:
-    """Write blocks (source, split, shard_id, block_in_shard, tokens) as shard files."""
+def write_token_shards(blocks: DataFrame, path: str, decode: Callable[[Column], Column] | None = None) -> None:
+    """Write blocks (source, split, shard_id, block_in_shard, tokens) as shard files.
+
+    ``decode`` makes the ids of ``tokens``, if that has them in another form; it
+    is called where a shard is written, so that only the shorter form moves.
+    """
     blocks.sparkSession.dataSource.register(TokenShardSource)
     keys = ["source", "split", "shard_id"]
+    ordered = blocks.select(*keys, "block_in_shard", "tokens").repartition(*keys).sortWithinPartitions(*keys, "block_in_shard")
     (
-        blocks.select(*keys, "block_in_shard", "tokens")
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, "block_in_shard")
+        (ordered.withColumn("tokens", decode(F.col("tokens"))) if decode else ordered)
         .write.format("u16shard")
         .mode("append")
         .option("path", qualified(blocks.sparkSession, path))
