@@ -29,6 +29,8 @@ UNKNOWN = "und"
 #: bounds of the sample: documents, and segments drawn from them
 TRAIN_DOCS, TRAIN_SEGMENTS = 4000, 60_000
 HIDDEN, MAX_STEPS, EPOCHS, BATCH, RATE = 16, 32, 3, 256, 0.01
+#: segments the network labels at once: their states are held for all positions
+RUN_SEGMENTS = 512
 #: segments remembered by a worker before it forgets them all
 MEMO_SEGMENTS = 400_000
 #: in the pipeline, documents of less certain language go
@@ -102,8 +104,8 @@ class ByteNetwork:
         lengths = np.fromiter(map(len, items), np.int64, len(items))
         order = np.argsort(lengths, kind="stable")
         for run in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
-            for at in range(0, len(run), 4096):
-                some = run[at : at + 4096]
+            for at in range(0, len(run), RUN_SEGMENTS):
+                some = run[at : at + RUN_SEGMENTS]
                 x = np.frombuffer(b"".join(b" " + items[i] for i in some), np.uint8).reshape(len(some), -1).T
                 out[some, :-1] = self._labels(x)[0].sum(axis=0)
                 out[some, -1] = len(x)

@@ -6,11 +6,12 @@ import collections
 import itertools
 import random
 import re
+import tracemalloc
 
 import pytest
 
 import corpus_pipeline
-from corpusmill.llm import ngram_jaccard, quality_rules
+from corpusmill.llm import language_id, ngram_jaccard, quality_rules
 from corpusmill.llm.decontaminate import Windows, contamination, drop_contaminated, find_windows, hits_by_document
 
 EN = "the river ran past old mill and every evening someone walked along its bank to look at water while birds sang over quiet fields".split()
@@ -154,3 +155,14 @@ def test_broadcast_and_shuffled_windows_find_the_same(spark, window):
         assert got == {i: w for i, w in want.items() if w[0]}
     rows = contamination(docs, table, window).collect()
     assert {r["doc_id"]: (r["n_hit"], set(r["item_ids"])) for r in rows} == want
+
+
+def test_network_holds_states_of_few_segments():
+    """The pipeline's language stage went over its memory: a worker's states stay in a few megabytes."""
+    network = language_id.ByteNetwork(["de", "en", "fr"])
+    items = [bytes([97 + i % 26]) * 31 for i in range(4096)]
+    tracemalloc.start()
+    network.position_sums(items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10_000_000
