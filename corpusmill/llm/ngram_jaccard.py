@@ -38,7 +38,7 @@ from corpusmill.llm.meet import link_holders, members
 from corpusmill.llm.text import (
     HASH_BYTES, PLAIN_SPACES, ROW, cut_pieces, hash_words, in_pieces, join_rows, mix, row_key, whole_rows,
 )
-from corpusmill.session import cut_lineage, materialize
+from corpusmill.session import cut_lineage, freed_shuffles, materialize
 
 SHINGLE_WORDS, PERCENT = 3, 90
 #: buckets of hashes: as many as there are runs of this size in the texts, and at least some
@@ -270,22 +270,23 @@ def ordered_prefixes(sets: DataFrame, percent: int) -> DataFrame:
 def similarity_classes(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(documents, links): rows (doc_id, text_md5, n, node) of all documents, and linked pairs of classes that
     connect all that is connected (a, b)."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", row_key()[1])
-    schema = "doc_id bigint, text_md5 string, n bigint, node binary, short bigint"
-    documents = materialize(texts.mapInArrow(_describe(width), schema), "shingle-counts")
-    shared = F.col("n") - F.coalesce("own", F.lit(0))
-    low = F.ceil(percent * F.col("n") / F.lit(100) - 1e-9)
-    high = F.floor((100 + percent) * shared / F.lit(percent) + 1e-9) - F.col("n")
-    able = documents.where("n > 0").join(own_shingles(texts, width), "short", "left").where(low <= high)
-    able = cut_lineage(able.select("node").distinct())
-    documents = documents.drop("short")
-    sets = sets_of(able, texts, documents, width)
-    tokens = materialize(ordered_prefixes(sets, percent), "prefix-tokens")
-    in_prefix = F.col("at") < F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) + F.col("k")
-    chosen = tokens.join(choose_matches(tokens, percent), "node").where(in_prefix)
-    beyond = F.greatest(F.lit(0), F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) - F.col("k"))
-    holders = chosen.select(F.col("token").alias("key"), "node", "n", "k", beyond.alias("rest"))
-    links = link_holders(holders, lambda nodes: sets, percent)
+    with freed_shuffles(docs.sparkSession):
+        texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", row_key()[1])
+        schema = "doc_id bigint, text_md5 string, n bigint, node binary, short bigint"
+        documents = materialize(texts.mapInArrow(_describe(width), schema), "shingle-counts")
+        shared = F.col("n") - F.coalesce("own", F.lit(0))
+        low = F.ceil(percent * F.col("n") / F.lit(100) - 1e-9)
+        high = F.floor((100 + percent) * shared / F.lit(percent) + 1e-9) - F.col("n")
+        able = documents.where("n > 0").join(own_shingles(texts, width), "short", "left").where(low <= high)
+        able = cut_lineage(able.select("node").distinct())
+        documents = documents.drop("short")
+        sets = sets_of(able, texts, documents, width)
+        tokens = materialize(ordered_prefixes(sets, percent), "prefix-tokens")
+        in_prefix = F.col("at") < F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) + F.col("k")
+        chosen = tokens.join(choose_matches(tokens, percent), "node").where(in_prefix)
+        beyond = F.greatest(F.lit(0), F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) - F.col("k"))
+        holders = chosen.select(F.col("token").alias("key"), "node", "n", "k", beyond.alias("rest"))
+        links = link_holders(holders, lambda nodes: sets, percent)
     return documents, links
 
 
@@ -308,7 +309,8 @@ def _checked(keys: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component, with its own columns: that with the smallest id, ids before
     null, then by the text's MD5.  Of rows equal in both one stays; texts without words all stay."""
-    members = cut_lineage(_members(docs, width, percent).where("n > 0").select("doc_id", "text_md5", "component"))
+    with freed_shuffles(docs.sparkSession):
+        members = cut_lineage(_members(docs, width, percent).where("n > 0").select("doc_id", "text_md5", "component"))
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")
     first = members.groupBy("component").agg(F.min(key).alias("first"))
     lost = members.join(first, "component").where(key != F.col("first")).select("doc_id", "text_md5").distinct()

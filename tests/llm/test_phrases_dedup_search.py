@@ -5,12 +5,14 @@ from __future__ import annotations
 import itertools
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
 from corpusmill.llm import collocations, lexical_search, ngram_jaccard, setsketch, text
+from corpusmill.llm.components import connected_components
 
 DOCS = "doc_id bigint, text string, lang string, n int, key string, component string, score string"
 
@@ -153,6 +155,27 @@ def test_jaccard_join_matches_brute_force_in_families(spark, near, width, percen
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str) == components(near, width, percent)
 
 
+def test_components_leave_no_shuffle_files(spark):
+    """Rounds of joins delete the shuffle files of the rounds before."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        files = disk.getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    before = held()
+    links = spark.range(1, 40).selectExpr("id as a", "id - 1 as b")
+    assert {tuple(r) for r in connected_components(links).collect()} == {(i, 0) for i in range(40)}
+    left = held() - before
+    for _ in range(50):
+        if len(left) <= 10:
+            break
+        time.sleep(0.1)  # files go in the background
+        left = held() - before
+    assert len(left) <= 10
+
+
 def test_registers_merge_and_estimate():
     random = np.random.default_rng(3)
     pool = random.integers(0, 2**63, 4000, dtype=np.uint64)
