@@ -17,8 +17,9 @@ Two sets that link share at least ``k`` keys, the smaller ``k`` of the two.
    With ``rest`` elements of a set beyond its keys, the shared keys and the
    larger ``rest`` bound what two sets can share.  One less the similarity is a
    distance, so of two classes that have met the same hub at distances x and y
-   the distance is at least |x - y|.  Pairs that may reach the threshold are
-   checked exactly.
+   the distance is at least |x - y|.  And two sets differ in at least as many
+   elements as the parities of their hashes, dealt over ``PARITY_BITS`` places,
+   differ in places.  Pairs that may reach the threshold are checked exactly.
 
 Nothing is cut: a pair is left out only if it cannot link, or if its two sides
 are in one component already.
@@ -26,9 +27,11 @@ are in one component already.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +41,8 @@ from corpusmill.session import cut_lineage, freed_shuffles, materialize
 HUB_ROUNDS = 2
 #: bands of size grow by this factor
 SIZE_STEP = 1.2
+#: places over which a set's hashes are dealt to compare their parities
+PARITY_BITS = 1024
 
 
 def sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -139,24 +144,42 @@ def hub_distances(met: DataFrame) -> DataFrame:
     return each.groupBy("node").agg(F.max(F.struct("meetings", "hub", "distance")).alias("h")).select("node", "h.hub", "h.distance")
 
 
-def remaining_pairs(placed: DataFrame, reach: DataFrame, distances: DataFrame, percent: int) -> DataFrame:
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = np.zeros((batch.num_rows, PARITY_BITS), np.uint8)
+        for row, shingles in zip(rows, batch.column(1)):
+            place = shingles.values.to_numpy().view(np.uint64) >> np.uint64(64 - PARITY_BITS.bit_length() + 1)
+            row[:] = np.bincount(place.astype(np.int64), minlength=PARITY_BITS) & 1
+        words = np.packbits(rows, axis=1).view(np.int64).ravel()
+        ends = np.arange(batch.num_rows + 1, dtype=np.int32) * (PARITY_BITS // 64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(words))], ["node", "parity"])
+
+
+def parities(sets: DataFrame) -> DataFrame:
+    """Rows (node, parity): of each place whether an odd number of a set's hashes fall there, as 64-bit words."""
+    return sets.select("node", "shingles").mapInArrow(_parities, "node binary, parity array<bigint>")
+
+
+def remaining_pairs(placed: DataFrame, reach: DataFrame, distances: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes in different components that share enough keys and can reach the threshold."""
     band = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(SIZE_STEP)))
     held = placed.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("held"))
-    able = placed.join(reach, "node").join(held, "node").join(distances, "node", "left")
-    columns = ("node", "n", "k", "rest", "component", "low", "high", "held", "hub", "distance")
+    able = placed.join(reach, "node").join(held, "node").join(parity, "node").join(distances, "node", "left")
+    columns = ("node", "n", "k", "rest", "component", "low", "high", "held", "parity", "hub", "distance")
     apart = (F.col("hub") == F.col("hub_b")) & (F.abs(F.col("distance") - F.col("distance_b")) > 1 - percent / 100 + 1e-9)
     side = able.select("key", *columns, F.explode(F.sequence(band(F.col("low")), band(F.col("high")))).alias("band"))
     other = able.select("key", band(F.col("n")).alias("band"), *[F.col(c).alias(f"{c}_b") for c in columns])
     need = F.ceil(F.lit(percent) * (F.col("n") + F.col("n_b")) / F.lit(100 + percent) - 1e-9)
     least = F.greatest(F.least("k", "k_b"), need - F.greatest("rest", "rest_b"))
     shared = F.array_intersect("held", "held_b")
+    words = [F.get(F.col("parity"), i).bitwiseXOR(F.get(F.col("parity_b"), i)) for i in range(PARITY_BITS // 64)]
+    differ = reduce(Column.__add__, map(F.bit_count, words))
     return side.join(
         other,
         (side["key"] == other["key"]) & (side["band"] == other["band"])
         & (F.col("node") > F.col("node_b")) & (F.col("component") != F.col("component_b"))
         & F.col("n_b").between(F.col("low"), F.col("high")) & F.col("n").between(F.col("low_b"), F.col("high_b"))
-        & ~F.coalesce(apart, F.lit(False))
+        & ~F.coalesce(apart, F.lit(False)) & (differ <= F.col("n") + F.col("n_b") - 2 * need)
         & (F.size(shared) >= least) & (F.get(shared, 0) == side["key"]),
     ).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
 
@@ -198,7 +221,7 @@ def link_holders(
         sets = read_sets(placed.select("node").distinct())
         none = placed.sparkSession.createDataFrame([], "node binary, hub binary, distance double")
         distances = hub_distances(reduce(DataFrame.unionByName, met)) if met else none
-        pairs = cut_lineage(likely(remaining_pairs(placed, _reach(sets, placed, percent), distances, percent)))
+        pairs = cut_lineage(likely(remaining_pairs(placed, _reach(sets, placed, percent), distances, parities(sets), percent)))
         return reduce(DataFrame.unionByName, [*links, verified(pairs, sets, percent)])
 
 

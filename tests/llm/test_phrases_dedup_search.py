@@ -11,8 +11,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from corpusmill.llm import collocations, lexical_search, ngram_jaccard, setsketch, text
+from corpusmill.llm import collocations, lexical_search, meet, ngram_jaccard, setsketch, text
 from corpusmill.llm.components import connected_components
+from corpusmill.session import cut_lineage
 
 DOCS = "doc_id bigint, text string, lang string, n int, key string, component string, score string"
 
@@ -155,6 +156,26 @@ def test_jaccard_join_matches_brute_force_in_families(spark, near, width, percen
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str) == components(near, width, percent)
 
 
+def test_copies_too_far_apart_never_meet(spark, monkeypatch):
+    """Copies just above and just below the threshold to a hub make no pairs, and the same components."""
+    random = np.random.default_rng(5)
+    base = [f"w{x}" for x in random.integers(0, 10**6, 400)]
+    texts = [" ".join(base), *family(random, 60, 1, shared=base[:-12]), *family(random, 60, 7, shared=base)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    found = []
+    remaining = meet.remaining_pairs
+
+    def counted(*args):
+        pairs = cut_lineage(remaining(*args))
+        found.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(meet, "remaining_pairs", counted)
+    got = setsketch.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == components(rows, 5, 85)
+    assert found and max(found) <= len(rows)
+
+
 def test_components_leave_no_shuffle_files(spark):
     """Rounds of joins delete the shuffle files of the rounds before."""
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
