@@ -73,6 +73,33 @@ def test_collocations_match_brute_force(spark, shards):
     assert len(want) == 24 and got_phrases(found) == want
 
 
+def test_common_phrases_are_told_by_few_tasks(spark, monkeypatch):
+    """Phrases of every text are spelled in the first scans; the later ones tell nothing of them."""
+    told = spark.sparkContext.accumulator(0)
+    spell = collocations._spell
+
+    def counted(shared):
+        run = spell(shared)
+
+        def tell(batches):
+            for batch in run(batches):
+                told.add(batch.num_rows)
+                yield batch
+
+        return tell
+
+    monkeypatch.setattr(collocations, "_spell", counted)
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")  # at most two files a task
+    try:
+        rows = [(i, f"a b c d e f g h i j. k{i}", "en") for i in range(400)]
+        found = got_phrases(collocations.collocations(frame(spark, rows).repartition(8)))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == phrases(rows, 2000, 10)
+    # 17 phrases; 8 files in each of 4 shards, two a task, of which those of the first tell
+    assert told.value <= 17 * 8
+
+
 def test_collocations_long_text_and_empty_table(spark, monkeypatch):
     monkeypatch.setattr(collocations, "HASH_BYTES", 64)
     random = np.random.default_rng(6)
