@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import EOS_ID, with_eos
-from corpusmill.operators.packing import cut_stream, token_offsets
+from corpusmill.operators.packing import cut_stream, join_pieces, token_offsets
 
 
 def next_token_labels(docs: DataFrame, block_size: int, tokens: Column | None = None, eos_id: int = EOS_ID) -> DataFrame:
@@ -72,24 +72,45 @@ def batch_windows(
     """Training rows of one epoch: windows of L·m+1 tokens, one shared token.
 
     Leftover tokens of a shard run on into the next.  A shard copy is a range
-    of the stream, so windows inside it are assembled next to its blocks: tokens
-    move once, by shard, and again only at the edges of shards.  With ``decode``
-    the blocks' ``tokens`` are bytes, and ids are made of finished rows.
+    of the stream, so a window inside it is cut from the block in which it opens
+    and those that follow: tokens are moved and sorted once, by shard, however
+    many copies the mix has, and move again only at the edges of shards.  With
+    ``decode`` the blocks' ``tokens`` are bytes, and ids are made of finished rows.
     """
     step = seq_len * micro_batch
-    placed = (
-        blocks.select("source", "shard_id", "block_in_shard", "tokens")
-        .join(order, ["source", "shard_id"])
-        .withColumn("start", F.col("shard_start") + F.col("block_in_shard") * block_size)
-        .withColumn("length", F.lit(block_size).cast("bigint"))
-        .withColumn("rng", F.col("place"))
-        .withColumn("rng_start", F.col("shard_start"))
-        .withColumn("rng_end", F.col("shard_start") + F.col("n_tokens"))
-    )
-    windows = cut_stream(
-        placed, ["epoch"], F.col("tokens"), "length", step + 1, step=step, placed_by=("source", "shard_id", "rng"),
-        decode=(lambda tokens: tokens) if decode else None,
+    size = step + 1
+    own = blocks.select("source", "shard_id", "block_in_shard", "tokens")
+    copies = order.select("epoch", "source", "shard_id", "shard_start", (F.col("shard_start") + F.col("n_tokens")).alias("shard_end"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        start = F.col("shard_start") + F.col("block_in_shard") * block_size
+        return rows.join(copies, ["source", "shard_id"]).withColumn("start", start).withColumn("end", start + block_size)
+
+    def cut(rows: DataFrame, windows: Column, tokens: str) -> DataFrame:
+        def piece(window: Column) -> Column:
+            low = F.greatest(window * step, F.col("start"))
+            at, n = (low - F.col("start") + 1).cast("int"), (F.least(window * step + size, F.col("until")) - low).cast("int")
+            part = F.substring(tokens, at, n) if decode else F.slice(tokens, at, n)
+            return F.struct(window.alias("window_id"), low.alias("pos"), part.alias("tokens"))
+
+        return rows.select("epoch", F.inline(F.transform(windows, piece)))
+
+    in_order = Window.partitionBy("source", "shard_id").orderBy("block_in_shard")
+    none = F.lit(b"") if decode else F.slice("tokens", 1, 0)
+    following = [F.coalesce(F.lead("tokens", n).over(in_order), none) for n in range(1, -(-step // block_size) + 1)]
+    runs = placed(own.withColumn("run", F.concat("tokens", *following)).drop("tokens")).withColumn("until", F.col("shard_end"))
+    runs = runs.withColumn("first", F.expr(f"(start + {step - 1}L) div {step}L")).withColumn(
+        "last", F.expr(f"least((end - 1) div {step}L, if(shard_end < {size}L, -1L, (shard_end - {size}L) div {step}L))")
     )
+    inside = cut(runs.where("last >= first"), F.sequence("first", "last"), "run")
+
+    edges = placed(own).withColumn("until", F.col("end"))
+    edges = edges.where((F.col("start") < F.col("shard_start") + size) | (F.col("end") > F.col("shard_end") - size))
+    met = F.sequence(F.expr(f"if(start < {size}L, 0L, (start - {size}L) div {step}L + 1)"), F.expr(f"(end - 1) div {step}L"))
+    crossing = F.filter(met, lambda window: (window * step < F.col("shard_start")) | (window * step + size > F.col("shard_end")))
+    across = join_pieces(cut(edges, crossing, "tokens"), ["epoch", "window_id"], bool(decode))
+    across = across.where((F.octet_length("tokens") if decode else F.size("tokens")) == size)
+    windows = inside.select("epoch", "window_id", "tokens").unionByName(across)
     offset = F.col("row") * seq_len
 
     def part(at: Column) -> Column:

@@ -26,7 +26,7 @@ def joined_pieces(parts: Column, as_bytes: bool) -> Column:
     return F.aggregate(parts, F.lit(b""), lambda whole, part: F.concat(whole, part)) if as_bytes else F.flatten(parts)
 
 
-def _join_pieces(pieces: DataFrame, keys: Sequence[str], as_bytes: bool) -> DataFrame:
+def join_pieces(pieces: DataFrame, keys: Sequence[str], as_bytes: bool) -> DataFrame:
     """Concatenate the pieces of each window in stream order.
 
     A window has at most one piece per token, so no group is unbounded.
@@ -121,9 +121,9 @@ def cut_stream(
     before = F.expr("if(first < first_whole, sequence(first, first_whole - 1), array())")
     after = F.expr("if(last_whole < last, sequence(last_whole + 1, last), array())")
     parted = F.concat(before, after)
-    inside = _join_pieces(cut(spans, F.filter(parted, lambda w: ~crosses(w)), *local), [*keys, *local], bool(decode))
+    inside = join_pieces(cut(spans, F.filter(parted, lambda w: ~crosses(w)), *local), [*keys, *local], bool(decode))
     edges = spans.where(crosses(F.col("first")) | crosses(F.col("last")))
-    across = _join_pieces(cut(edges, F.filter(parted, crosses)), keys, bool(decode))
+    across = join_pieces(cut(edges, F.filter(parted, crosses)), keys, bool(decode))
     across = across.where((F.octet_length("tokens") if decode else F.size("tokens")) == size)
     windows = whole.select(*keys, "tokens").unionByName(inside.select(*keys, "tokens")).unionByName(across)
     return windows.withColumn("tokens", decode(F.col("tokens"))) if decode else windows
